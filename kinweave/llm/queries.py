@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.llm import components, survivorship
+from kinweave.llm import canonical, components, leakage, linkage, lookalike, mixing, survivorship
 from kinweave.llm.sql import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +24,53 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return components.found(table(spark, d, "dedup_pairs_ambiguous"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.found(table(spark, d, "dedup_pairs"), table(spark, d, "clubs"), table(spark, d, "wc_2026_team_map"))
+
+
+def p6_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """The typed values that belong to no entry, with how many rows hold each."""
+    rows = canonical.mapped(table(spark, d, "dedup_pairs"), table(spark, d, "clubs"), table(spark, d, "wc_2026_team_map"))
+    return rows.where("ref_key = 'NONE'").groupBy("field", "value").count().withColumnRenamed("count", "n")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return linkage.found(table(spark, d, "pipeline_players"))
+
+
+def p7_confidence(spark: SparkSession, d: str) -> DataFrame:
+    return linkage.with_confidence(table(spark, d, "pipeline_players"), table(spark, d, "dedup_pairs"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_alignments(spark: SparkSession, d: str) -> DataFrame:
+    """Every document and item that share a seed, with the alignment's score: edited copies too."""
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_selection(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "source_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "source_targets"))[1]
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike.pairs(table(spark, d, "documents"))
+
+
+def p10_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's text in one consistent form."""
+    return lookalike.canonical(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p4_found": p4_found}
+    own = (p1_found, p4_found, p6_found, p6_unmatched, p7_found, p7_confidence, p8_found, p8_alignments, p9_selection, p9_shares, p10_found, p10_texts)
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
