@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kinweave.operators import shred, units
+from kinweave.plans import domain, relational
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +34,8 @@ DATA_QUERIES: dict[str, Query] = {"p3_found": p3_found, "p5_found": p5_found, "p
 
 
 def queries() -> dict[str, Query]:
-    return dict(DATA_QUERIES)
+    return DATA_QUERIES | relational.QUERIES | domain.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return relational.SQL | domain.SQL
