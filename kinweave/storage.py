@@ -38,13 +38,25 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Lets Spark delete a query's shuffle files when the query ends instead of when the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Written:
-    """A DataFrame written to the shared folder and read back: its plan starts at files that outlive any executor."""
+    """A DataFrame written to the shared folder and read back: its plan starts at files that outlive any executor.
+
+    The shuffle files behind it are of no more use once it's written and are deleted at once.
+    """
 
     def __init__(self, df: DataFrame, name: str = "t"):
         self.spark = df.sparkSession
         self.path = f"{shared_root(self.spark)}/{name}-{uuid.uuid4().hex[:10]}"
-        df.write.option("compression", "zstd").parquet(self.path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(self.path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
