@@ -16,7 +16,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.storage import materialize
+from kinweave.storage import Written, materialize
 
 #: Beta prior of a rule's precision: as if so many labelled pairs had been right and wrong.
 PRIOR = (4.0, 1.0)
@@ -26,29 +26,31 @@ LONG = 8
 
 @lru_cache(maxsize=1)
 def _letters() -> tuple[str, str]:
-    """Accented Latin letters and their plain ones, from the Unicode character database; combining marks go."""
+    """Accented Latin letters and their plain ones, from the Unicode character database; punctuation becomes a blank,
+    combining marks go."""
     a, b = [], []
     for code in [*range(0xDF, 0x250), *range(0x1E00, 0x1F00)]:
         base = unicodedata.normalize("NFKD", chr(code))[0]
         if base != chr(code) and base.isascii() and base.isalpha():
             a.append(chr(code))
             b.append(base)
-    a += ["ø", "ı", "đ", "ł", "æ", "œ"]
-    b += ["o", "i", "d", "l", "a", "o"]
+    a += ["ø", "ı", "đ", "ł", "æ", "œ", "ß", *".,-_/()\t\n\xa0'’´`"]
+    b += ["o", "i", "d", "l", "a", "o", "s", *" " * 14]
     return "".join(a) + "".join(map(chr, range(0x300, 0x370))), "".join(b)
 
 
 def plain(c: Column) -> Column:
-    """Lower-case letters without accents; the two-letter spellings of an umlaut become one letter, doubled letters single."""
+    """Lower-case letters without accents; the two-letter spellings of an umlaut become one letter."""
     c = F.translate(F.lower(c), *_letters())
-    c = F.regexp_replace(F.regexp_replace(c, "ß", "s"), "([aou])e", "$1")
-    return F.regexp_replace(c, r"([a-z])\1+", "$1")
+    for pair in ("ae", "oe", "ue"):
+        c = F.replace(c, F.lit(pair), F.lit(pair[0]))
+    return c
 
 
 def _tokens(c: Column) -> Column:
     """The words of a name, the given name first where a comma tells."""
-    c = F.regexp_replace(plain(c), r"^\s*([^,]+),\s*(.+)$", "$2 $1")
-    return F.filter(F.split(F.regexp_replace(c, "[^a-z]+", " "), " "), lambda t: t != "")
+    c = F.when(F.contains(c, F.lit(",")), F.concat_ws(" ", F.substring_index(c, ",", -1), F.substring_index(c, ",", 1))).otherwise(c)
+    return F.filter(F.split(plain(c), " "), lambda t: t != "")
 
 
 def _names(tokens: Column, fallback: Column | None = None) -> Column:
@@ -64,67 +66,78 @@ def _names(tokens: Column, fallback: Column | None = None) -> Column:
     return F.transform(families, reading)
 
 
+_NO_NAMES = "array<struct<s:string,i:string,g:string>>"
+
+
 def signatures(players: DataFrame) -> DataFrame:
-    """(side, rid, names, born, pos, height, place, club): what the rules compare, one row for each input row.
+    """(v, names, short, initials, born, pos, height, city, nation, club): what the rules compare, one row for each input row.
 
-    rid is the number of the id. Rows whose id is null or of another form give none. Nulls stay null and make no key.
+    v is the number of the id, negative for the second source; names are readings (s, i, g) of the name and the short name,
+    without readings that say less than another. Rows whose id is null or of another form give none. Nulls stay null and
+    make no key.
     """
     number = F.expr(r"try_cast(regexp_extract(id, '^\\s*(?:apif_)?([1-9][0-9]{0,17})\\s*$', 1) as bigint)")
+    value = lambda c: F.nullif(F.xxhash64(F.lower(F.trim(c))), F.xxhash64(F.lit("")))
     t = players.select(
-        F.when(F.lower("id").like("%apif%"), 1).otherwise(0).cast("tinyint").alias("side"), number.alias("rid"), _tokens(F.col("name")).alias("a"), _tokens(F.col("name_short")).alias("b"),
-        F.col("date_of_birth").alias("born"), F.lower(F.substring(F.trim("position"), 1, 1)).alias("pos"), "height_cm", plain(F.regexp_replace("city_of_birth", r"\W", "")).alias("city"), plain(F.regexp_replace("nationality", r"\W", "")).alias("nation"), plain(F.regexp_replace("current_club_name", r"\W", "")).alias("club"),
-    ).where("rid is not null")
-    a = _names(F.col("a"))
-    given = F.try_element_at(F.col("a"), F.lit(1))
-    b = _names(F.col("b"), given)
-    names = F.array_distinct(F.concat(F.coalesce(a, F.array().cast("array<struct<s:string,i:string,g:string>>")), F.coalesce(b, F.array().cast("array<struct<s:string,i:string,g:string>>"))))
+        F.when(F.contains(F.lower("id"), F.lit("apif")), -number).otherwise(number).alias("v"), _tokens(F.col("name")).alias("a"), _tokens(F.col("name_short")).alias("b"),
+        F.col("date_of_birth").alias("born"), F.lower(F.substring(F.trim("position"), 1, 1)).alias("pos"), F.col("height_cm").alias("height"),
+        *[F.when(F.trim(c) != "", value(c)).alias(n) for c, n in (("city_of_birth", "city"), ("nationality", "nation"), ("current_club_name", "club"))],
+    ).where("v is not null")
+    given, second = F.try_element_at(F.col("a"), F.lit(1)), F.try_element_at(F.col("a"), F.lit(2))
+    none = F.array().cast(_NO_NAMES)
+    t = t.withColumn("n", F.array_distinct(F.concat(F.coalesce(_names(F.col("a")), none), F.coalesce(_names(F.col("b"), given), none))))
+    names = F.expr("filter(n, x -> x.g is not null or not exists(n, y -> y.s = x.s and y.g is not null))")
     # "Given S. Second": a given name and the initial of the first family name
-    second = F.try_element_at(F.col("a"), F.lit(2))
     short = F.when((F.length(given) >= 3) & second.isNotNull(), F.concat_ws(" ", given, F.substring(second, 1, 1)))
-    return t.select("side", "rid", names.alias("names"), short.alias("short"), "born", "pos", F.col("height_cm").alias("height"), "city", "nation", "club")
+    return t.select("v", names.alias("names"), short.alias("short"), F.expr("array_distinct(transform(n, x -> x.i))").alias("initials"), "born", "pos", "height", "city", "nation", "club")
 
 
-def _key(rule: int, *parts: Column) -> Column:
-    """The key of a rule, null where a part is."""
-    whole = reduce(lambda x, y: x & y, [p.isNotNull() & (p.cast("string") != "") for p in parts])
-    return F.when(whole, F.struct(F.lit(rule).cast("tinyint").alias("rule"), F.xxhash64(F.lit(rule), *parts).alias("key")))
+def _head(s: Column) -> Column:
+    return F.when(F.length(s) >= 7, F.substring(s, 1, 4))
 
 
-def _passes() -> list[Column]:
-    """The rules of each pass as arrays of keys, strongest first; a rule's number is its place in the cascade."""
-    born, pos, height, city, nation, club, short = (F.col(c) for c in ("born", "pos", "height", "city", "nation", "club", "short"))
-    year, month, day = F.year(born), F.month(born), F.dayofmonth(born)
-    loose = year * 10000 + F.least(month, day) * 100 + F.greatest(month, day)  # day and month in either order
+def _tail(s: Column) -> Column:
+    """With the head, two parts of a word of which one edit leaves one whole."""
+    return F.when(F.length(s) >= 7, F.substring(s, -5, 5))
 
-    def each(f) -> Column:
-        return F.flatten(F.transform(F.col("names"), lambda n: F.array(*f(n["s"], n["i"], n["g"]))))
 
-    head, tail = (lambda s: F.when(F.length(s) >= 7, F.substring(s, 1, 4))), (lambda s: F.when(F.length(s) >= 7, F.substring(s, -5, 5)))  # one is whole after one edit
-    strict = each(lambda s, i, g: [_key(1, s, g, born), _key(2, s, i, born)])
-    close = F.concat(
-        each(lambda s, i, g: [
-            _key(3, head(s), g, born), _key(4, tail(s), g, born), _key(5, head(s), i, born, pos), _key(6, tail(s), i, born, pos),
-            _key(7, s, g, loose), _key(8, s, i, loose, pos), _key(9, s, g, year, pos), _key(10, s, g, month, day, pos), _key(11, s, g, year, month),
-            _key(12, s, i, year, pos, height), _key(13, s, i, year, pos, city), _key(14, s, i, month, day, pos),
-        ]),
-        F.array(_key(15, short, born, pos)),
-    )
-    weak = F.concat(
-        each(lambda s, i, g: [
-            _key(16, s, g, pos, city), _key(17, s, g, pos, club), _key(18, s, g, pos, height, nation), _key(19, s, i, pos, city, height), _key(20, s, i, year, pos, nation),
-            _key(21, s, born, pos, height), _key(22, s, born, pos, city), _key(23, s, born, pos), _key(24, head(s), i, loose, pos), _key(25, head(s), g, year, pos, nation), _key(26, tail(s), g, year, pos, nation),
-            _key(27, s, g, pos, nation), _key(28, head(s), g, pos, city, height), _key(29, tail(s), i, loose, pos),
-            _key(30, s, i, pos, height, nation), _key(31, s, i, pos, club), _key(32, s, i, pos, city),
-        ]),
-        F.array(_key(33, short, year, pos, nation), _key(34, born, pos, city, height), _key(35, born, pos, club, height)),
-    )
-    return [strict, close, weak]
+def _loose(born: Column) -> Column:
+    """A date with day and month in either order."""
+    return F.year(born) * 10000 + F.least(F.month(born), F.dayofmonth(born)) * 100 + F.greatest(F.month(born), F.dayofmonth(born))
+
+
+#: The rules of each pass by the attributes that must agree, strongest first; a rule's number is its place in the cascade.
+#: s: family name, g: given name, i: initial, head, tail: parts of the family name, short: given name and the next initial.
+PASSES: list[list[tuple[str, ...]]] = [
+    [("s", "g", "born"), ("s", "i", "born")],
+    [("head", "i", "born", "pos"), ("tail", "i", "born", "pos"), ("s", "i", "loose", "pos"), ("s", "g", "year", "pos"), ("s", "g", "day", "pos"), ("s", "i", "year", "pos", "height"), ("short", "born", "pos")],
+    [
+        ("s", "g", "pos", "city"), ("s", "g", "pos", "club"), ("s", "g", "pos", "height"), ("s", "i", "pos", "city"), ("s", "i", "pos", "club"), ("s", "i", "year", "pos"), ("s", "g", "pos"), ("s", "born", "pos"),
+        ("head", "g", "year", "pos"), ("tail", "g", "year", "pos"), ("s", "i", "pos", "height"), ("short", "year", "pos", "nation"),
+    ],
+]
+
+
+def keys(signed: DataFrame, rules: list[tuple[str, ...]], first: int) -> DataFrame:
+    """(v, rule, key): the keys that each record makes."""
+    own = [c for c in ("pos", "height", "city", "nation", "club", "short") if any(c in r for r in rules)]
+    read = signed.select("v", "born", *own, F.explode_outer("names").alias("n")).select("v", "born", *own, "n.s", "n.i", "n.g")
+    return reading_keys(read, "v", rules, first)
+
+
+def reading_keys(read: DataFrame, record: str, rules: list[tuple[str, ...]], first: int) -> DataFrame:
+    """(record, rule, key) of readings (record, s, i, g, born, ...): one 64-bit key for each rule all of whose parts are known."""
+    born, wanted = F.col("born"), {p for r in rules for p in r}
+    parts = {"head": _head(F.col("s")), "tail": _tail(F.col("s")), "loose": _loose(born), "year": F.year(born), "day": F.month(born) * 100 + F.dayofmonth(born)}
+    read = read.select("*", *[c.alias(n) for n, c in parts.items() if n in wanted])
+    made = [F.when(reduce(lambda x, y: x & y, [F.col(p).isNotNull() for p in r]), F.xxhash64(F.lit(first + n), *r)) for n, r in enumerate(rules)]
+    return read.select(record, F.posexplode(F.array(*made)).alias("n", "key")).where("key is not null").select(record, (F.col("n") + first).cast("tinyint").alias("rule"), "key")
 
 
 def agreeing(x: str, y: str) -> Column:
     """Whether two signatures can be of one person: birth dates equal, or one unknown, or one a slip of the other (day and
     month exchanged, a day or a year off, the first of the month or of January for an unknown day); positions equal or one
-    unknown; heights within 3 cm; given names not different full names beyond an abbreviation."""
+    unknown; heights within 3 cm; initials of the given names that meet, or unknown ones."""
     b1, b2 = F.col(f"{x}.born"), F.col(f"{y}.born")
     same_year = F.year(b1) == F.year(b2)
     slip = (
@@ -135,36 +148,43 @@ def agreeing(x: str, y: str) -> Column:
     )
     pos = F.col(f"{x}.pos") == F.col(f"{y}.pos")
     height = F.abs(F.col(f"{x}.height") - F.col(f"{y}.height")) <= 3
-    given = F.exists(F.col(f"{x}.names"), lambda a: F.exists(F.col(f"{y}.names"), lambda b: F.coalesce(a["i"] == b["i"], F.lit(True))))
-    return F.coalesce(slip, F.lit(True)) & F.coalesce(pos, F.lit(True)) & F.coalesce(height, F.lit(True)) & given
+    initials = F.arrays_overlap(f"{x}.initials", f"{y}.initials")  # null where only an unknown one could meet
+    return F.coalesce(slip, F.lit(True)) & F.coalesce(pos, F.lit(True)) & F.coalesce(height, F.lit(True)) & F.coalesce(initials, F.lit(True))
 
 
-def cascade(signed: DataFrame, passes: list[Column] | None = None) -> DataFrame:
-    """(t, a, rule): matched records of side 0 and side 1, at most one partner each, and the strongest rule that matched them.
+def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None) -> DataFrame:
+    """(t, a, rule): matched records of the first and the second source, at most one partner each, and the strongest rule
+    that matched them.
 
     A record that several keys of one pass lead to different partners goes to the partner most rules lead to, and to none
-    if that is not mutual.
+    if that is not mutual. The first pass needs no further agreement.
     """
-    passes = _passes() if passes is None else passes
-    remaining, matched = signed, []
-    for n, keys in enumerate(passes):
-        exploded = remaining.select("side", "rid", F.explode(F.array_distinct(F.filter(keys, lambda k: k.isNotNull()))).alias("k")).select("side", "rid", "k.rule", "k.key")
-        t, a = F.when(F.col("side") == 0, F.col("rid")), F.when(F.col("side") == 1, F.col("rid"))
-        single = exploded.groupBy("key", "rule").agg(F.min(t).alias("t"), F.max(t).alias("t2"), F.min(a).alias("a"), F.max(a).alias("a2")).where("t = t2 and a = a2")
-        pairs = single.groupBy("t", "a").agg(F.min("rule").alias("rule"), F.count("*").alias("n"))
-        # the same person's rows repeat with one state each: any row will do for comparison, the greatest is taken
-        about = remaining.groupBy("side", "rid").agg(F.max(F.struct("born", "pos", "height", "names")).alias("s"))
-        x = about.where("side = 0").select(F.col("rid").alias("t"), F.col("s").alias("x"))
-        y = about.where("side = 1").select(F.col("rid").alias("a"), F.col("s").alias("y"))
-        fit = pairs.join(x, "t").join(y, "a").where(agreeing("x", "y")).select("t", "a", "rule", "n")
-        best = F.struct("n", (-F.col("rule")).alias("r"), F.col("other"))
-        of_t = fit.withColumn("other", F.col("a")).groupBy("t").agg(F.max(best).alias("m")).select("t", F.col("m.other").alias("a"))
-        of_a = fit.withColumn("other", F.col("t")).groupBy("a").agg(F.max(best).alias("m")).select("a", F.col("m.other").alias("t"))
-        found = materialize(fit.select("t", "a", "rule").join(of_t, ["t", "a"]).join(of_a, ["t", "a"]), f"pass{n + 1}")
+    passes = PASSES if passes is None else passes
+    matched, first, remaining = [], 1, signed
+    for n, rules in enumerate(passes):
+        t, a = F.when(F.col("v") > 0, F.col("v")), F.when(F.col("v") < 0, F.col("v"))
+        single = keys(remaining, rules, first).groupBy("key", "rule").agg(F.min(t).alias("t"), F.max(t).alias("t2"), F.min(a).alias("a"), F.max(a).alias("a2")).where("t = t2 and a = a2")
+        fit = single.groupBy("t", "a").agg(F.min("rule").alias("rule"), F.count("*").cast("int").alias("n"))
+        if n:
+            about = remaining.select("v", F.struct("born", "pos", "height", "initials").alias("s"))
+            x, y = about.withColumnsRenamed({"v": "t", "s": "x"}), about.withColumnsRenamed({"v": "a", "s": "y"})
+            fit = fit.join(x, "t").join(y, "a").where(agreeing("x", "y")).groupBy("t", "a").agg(F.min("rule").alias("rule"), F.max("n").alias("n"))
+        # votes, rule and partner as one number each way: aggregated by hash, without sorting
+        rank = F.col("n") * 128 - F.col("rule")
+        of_t = fit.groupBy("t").agg(F.max(rank).alias("best"))
+        of_a = fit.groupBy("a").agg(F.max(rank).alias("best"))
+        top = fit.withColumn("rank", rank).join(of_t, "t").where("rank = best").drop("best").join(of_a, "a").where("rank = best")
+        one_t = top.groupBy("t").agg(F.min("a").alias("a"), F.max("a").alias("a2"), F.min("rule").alias("rule")).where("a = a2")
+        one = one_t.groupBy("a").agg(F.min("t").alias("t"), F.max("t").alias("t2"), F.min("rule").alias("rule")).where("t = t2").select("t", "a", "rule")
+        found = materialize(one, f"pass{n + 1}")
         matched.append(found)
+        first += len(rules)
         if n + 1 < len(passes):
-            done = found.select(F.lit(0).cast("tinyint").alias("side"), F.col("t").alias("rid")).unionByName(found.select(F.lit(1).cast("tinyint").alias("side"), F.col("a").alias("rid")))
-            remaining = materialize(remaining.join(done, ["side", "rid"], "left_anti"), f"rest{n + 1}")
+            done = found.select(F.explode(F.array("t", "a")).alias("v"))
+            rest = Written(remaining.join(done, "v", "left_anti"), f"rest{n + 1}")
+            if n:
+                previous.drop()
+            previous, remaining = rest, rest.df
     return reduce(DataFrame.unionByName, matched)
 
 
@@ -180,11 +200,14 @@ def rule_precision(matches: DataFrame, labels: DataFrame, prior: tuple[float, fl
 
 
 def match(players: DataFrame) -> DataFrame:
-    return cascade(materialize(signatures(players), "signatures"))
+    signed = Written(signatures(players), "signatures")
+    matches = cascade(signed.df)
+    signed.drop()
+    return matches
 
 
 def ids(matches: DataFrame) -> DataFrame:
-    return matches.select(F.col("t").cast("string").alias("tm_id"), F.concat(F.lit("apif_"), F.col("a").cast("string")).alias("apif_id"), *[c for c in matches.columns if c not in ("t", "a")])
+    return matches.select(F.col("t").cast("string").alias("tm_id"), F.concat(F.lit("apif_"), (-F.col("a")).cast("string")).alias("apif_id"), *[c for c in matches.columns if c not in ("t", "a")])
 
 
 def found(players: DataFrame) -> DataFrame:
@@ -196,6 +219,6 @@ def with_confidence(players: DataFrame, proposed: DataFrame) -> DataFrame:
     """(tm_id, apif_id, rule, confidence), the labels being the proposed pairs: they are neither complete nor always right,
     so the confidence is that of agreeing with them, a lower bound where proposals are wrong."""
     digits = lambda c: F.expr(rf"try_cast(regexp_extract({c}, '([1-9][0-9]*)', 1) as bigint)")
-    labels = proposed.select(digits("tm_id").alias("t"), digits("apif_id").alias("a")).where("t is not null and a is not null")
+    labels = proposed.select(digits("tm_id").alias("t"), (-digits("apif_id")).alias("a")).where("t is not null and a is not null")
     matches = match(players)
     return ids(matches.join(rule_precision(matches, labels).select("rule", "confidence"), "rule")).distinct()
