@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinweave.llm import canonical, components, leakage, linkage, lookalike, mixing, survivorship
+from kinweave.llm import canonical, components, leakage, linkage, lookalike, mixing, names, survivorship
 from kinweave.llm.sql import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,22 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return survivorship.found(table(spark, d, "profile_players_staging"))
 
 
+def p1_records(spark: SparkSession, d: str) -> DataFrame:
+    """The surviving record of each group: every field from its own best row."""
+    fields = ["display_name", "birth_city", "nationality", "height_cm", "position", "current_club", "market_value_eur"]
+    best = survivorship.profile_survivors(table(spark, d, "profile_players_staging"), fields)
+    return best.select("group_id", *[best[f]["value"].alias(f) for f in fields])
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.found(table(spark, d, "pipeline_players"), table(spark, d, "players"))
+
+
+def p2_links(spark: SparkSession, d: str) -> DataFrame:
+    """The links with the evidence they rest on and the similarity of the names."""
+    return names.link(table(spark, d, "pipeline_players"), table(spark, d, "players"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return components.found(table(spark, d, "dedup_pairs_ambiguous"))
 
@@ -69,7 +85,7 @@ def p10_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (p1_found, p4_found, p6_found, p6_unmatched, p7_found, p7_confidence, p8_found, p8_alignments, p9_selection, p9_shares, p10_found, p10_texts)
+    own = (p1_found, p1_records, p2_found, p2_links, p4_found, p6_found, p6_unmatched, p7_found, p7_confidence, p8_found, p8_alignments, p9_selection, p9_shares, p10_found, p10_texts)
     return {f.__name__: f for f in own}
 
 
