@@ -148,7 +148,7 @@ def sql_literal(c: Column) -> Column:
 def sql_array(c: Column) -> Column:
     """An array of text as an SQL array literal."""
     items = F.transform(F.filter(c, lambda x: x.isNotNull()), lambda x: F.concat(F.lit("'"), F.replace(x, F.lit("'"), F.lit("''")), F.lit("'")))
-    return F.when(c.isNull() | (F.size(c) == 0), "'{}'").otherwise(F.concat(F.lit("ARRAY["), F.array_join(items, ", "), F.lit("]")))
+    return F.when(c.isNull() | (F.size(F.filter(c, lambda x: x.isNotNull())) == 0), "'{}'").otherwise(F.concat(F.lit("ARRAY["), F.array_join(items, ", "), F.lit("]")))
 
 
 def script_escape(c: Column) -> Column:

@@ -46,7 +46,7 @@ def test_reasons_and_names(spark):
     assert one(spark, text.longer_name, "A B", "A B C") == "A B C"
     assert one(spark, text.longer_name, None, "A") == "A"
     assert one(spark, text.club_words, "Real F.C. de Arbon-Süd") == ["arbon", "sud"]
-    assert one(spark, text.sql_array, None) == "'{}'"
+    assert one(spark, lambda c: text.sql_array(F.array(c).cast("array<string>")), None) == "'{}'"
 
 
 def test_missing_values(spark):
