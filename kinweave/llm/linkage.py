@@ -54,9 +54,9 @@ def _tokens(c: Column) -> Column:
 
 
 def _names(tokens: Column, fallback: Column | None = None) -> Column:
-    """(family name, initial, given name) readings of a name: its longest word and every other long one can be the family name."""
+    """(family name, initial, given name) readings of a name: its longest word and every other long one but the first can be the family name."""
     longest = F.array_max(F.transform(tokens, lambda t: F.length(t)))
-    families = F.filter(tokens, lambda t: (F.length(t) >= LONG) | ((F.length(t) == longest) & (F.length(t) >= 3)))
+    families = F.filter(tokens, lambda t, i: ((F.length(t) >= LONG) & (i > 0)) | ((F.length(t) == longest) & (F.length(t) >= 3)))
 
     def reading(s: Column) -> Column:
         given = F.try_element_at(F.filter(tokens, lambda t: t != s), F.lit(1))
@@ -129,7 +129,7 @@ def reading_keys(read: DataFrame, record: str, rules: list[tuple[str, ...]], fir
     """(record, rule, key) of readings (record, s, i, g, born, ...): one 64-bit key for each rule all of whose parts are known."""
     born, wanted = F.col("born"), {p for r in rules for p in r}
     parts = {"head": _head(F.col("s")), "tail": _tail(F.col("s")), "loose": _loose(born), "year": F.year(born), "day": F.month(born) * 100 + F.dayofmonth(born)}
-    read = read.select("*", *[c.alias(n) for n, c in parts.items() if n in wanted])
+    read = read.select("*", *[c.alias(n) for n, c in parts.items() if n in wanted])  # what rules share is made once
     made = [F.when(reduce(lambda x, y: x & y, [F.col(p).isNotNull() for p in r]), F.xxhash64(F.lit(first + n), *r)) for n, r in enumerate(rules)]
     return read.select(record, F.posexplode(F.array(*made)).alias("n", "key")).where("key is not null").select(record, (F.col("n") + first).cast("tinyint").alias("rule"), "key")
 
