@@ -20,6 +20,8 @@ from kinweave.storage import Written, materialize
 
 #: Beta prior of a rule's precision: as if so many labelled pairs had been right and wrong.
 PRIOR = (4.0, 1.0)
+#: Bits of a key that hold the rule's number.
+RULE_BITS = 5
 #: Letters of a word that counts as a family name beside the longest word of a name.
 LONG = 8
 
@@ -119,19 +121,24 @@ PASSES: list[list[tuple[str, ...]]] = [
 
 
 def keys(signed: DataFrame, rules: list[tuple[str, ...]], first: int) -> DataFrame:
-    """(v, rule, key): the keys that each record makes."""
+    """(v, key): the keys that each record makes."""
     own = [c for c in ("pos", "height", "city", "nation", "club", "short") if any(c in r for r in rules)]
     read = signed.select("v", "born", *own, F.explode_outer("names").alias("n")).select("v", "born", *own, "n.s", "n.i", "n.g")
     return reading_keys(read, "v", rules, first)
 
 
 def reading_keys(read: DataFrame, record: str, rules: list[tuple[str, ...]], first: int) -> DataFrame:
-    """(record, rule, key) of readings (record, s, i, g, born, ...): one 64-bit key for each rule all of whose parts are known."""
+    """(record, key) of readings (record, s, i, g, born, ...): one key for each rule all of whose parts are known. The low bits of
+    a key are the rule's number, first and on; the rest is a hash, which the rows of one rule share by what they agree in."""
     born, wanted = F.col("born"), {p for r in rules for p in r}
     parts = {"head": _head(F.col("s")), "tail": _tail(F.col("s")), "loose": _loose(born), "year": F.year(born), "day": F.month(born) * 100 + F.dayofmonth(born)}
     read = read.select("*", *[c.alias(n) for n, c in parts.items() if n in wanted])  # what rules share is made once
-    made = [F.when(reduce(lambda x, y: x & y, [F.col(p).isNotNull() for p in r]), F.xxhash64(F.lit(first + n), *r)) for n, r in enumerate(rules)]
-    return read.select(record, F.posexplode(F.array(*made)).alias("n", "key")).where("key is not null").select(record, (F.col("n") + first).cast("tinyint").alias("rule"), "key")
+    made = [F.when(reduce(lambda x, y: x & y, [F.col(p).isNotNull() for p in r]), F.shiftleft(F.xxhash64(*r), RULE_BITS).bitwiseOR(F.lit(first + n).cast("long"))) for n, r in enumerate(rules)]
+    return read.select(record, F.explode(F.array(*made)).alias("key")).where("key is not null")
+
+
+def rule_of(key: Column) -> Column:
+    return key.bitwiseAND(F.lit((1 << RULE_BITS) - 1).cast("long")).cast("int")
 
 
 def agreeing(x: str, y: str) -> Column:
@@ -163,7 +170,7 @@ def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None
     matched, first, remaining = [], 1, signed
     for n, rules in enumerate(passes):
         t, a = F.when(F.col("v") > 0, F.col("v")), F.when(F.col("v") < 0, F.col("v"))
-        single = keys(remaining, rules, first).groupBy("key", "rule").agg(F.min(t).alias("t"), F.max(t).alias("t2"), F.min(a).alias("a"), F.max(a).alias("a2")).where("t = t2 and a = a2")
+        single = keys(remaining, rules, first).groupBy("key").agg(F.min(t).alias("t"), F.max(t).alias("t2"), F.min(a).alias("a"), F.max(a).alias("a2")).where("t = t2 and a = a2").select("t", "a", rule_of(F.col("key")).alias("rule"))
         fit = single.groupBy("t", "a").agg(F.min("rule").alias("rule"), F.count("*").cast("int").alias("n"))
         if n:
             about = remaining.select("v", F.struct("born", "pos", "height", "initials").alias("s"))
