@@ -131,9 +131,9 @@ def _block(spark, docs: DataFrame, items: Items, doc_key: str, item_key: str, te
         span = max(1, run - items.gram + 1)
         for start in range(max(1, len(grams) - span + 1) if len(grams) else 0):
             window = grams[start : start + span]
-            rare = window[np.lexsort((window, counts[window]))[0]]
-            if counts[rare]:
-                seeds.add((int(rare), n))
+            window = window[counts[window] > 0]  # an edited copy holds only some of them
+            if len(window):
+                seeds.add((int(window[np.lexsort((window, counts[window]))[0]]), n))
     joined = hits.join(spark.createDataFrame(sorted(seeds) or [], "g long, n int"), "g").groupBy("k").agg(F.collect_set("n").alias("ns"))
     chosen = docs.select(F.col(doc_key).alias("k"), F.col(text).alias("t")).join(joined, "k")
 
