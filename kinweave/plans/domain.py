@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions import nulls, text
-from kinweave.operators import dml, exact, fuzzy, quality, ranking, readonly, reconcile
+from kinweave.operators import dml, exact, fuzzy, quality, ranking, readonly, reconcile, records
 from kinweave.plans.relational import table
 from kinweave.sources import literals, sinks
 from kinweave.storage import shared_root
@@ -28,6 +28,11 @@ def query(sql: str | None = None):
     return add
 
 
+def _plain_lower(c):
+    """Lower case with İ as i: Java leaves a combining dot."""
+    return F.translate(F.lower(c), "\u0307", "")
+
+
 _STRIP = f"lower(translate(list_extract(string_split(name, ' '), -1), '{text.REF_FROM}', '{text.REF_TO}'))"
 _RICH = f"with p as (select distinct id, name, date_of_birth, nationality, position, market_value_eur, current_club_name, case when id like 'apif_%' then 'APIF' else 'TM' end source, {_STRIP} k from pipeline_players where name is not null and date_of_birth is not null and nationality is not null), ids as (select distinct id, source, k, date_of_birth, lower(nationality) n, max(nationality) over (partition by id) nationality from p), pairs as (select distinct t.id tm_id, a.id apif_id from ids t join ids a on t.k = a.k and t.date_of_birth = a.date_of_birth and t.n = a.n where t.source = 'TM' and a.source = 'APIF')"
 _MULTI = ", mt as (select tm_id from pairs group by 1 having count(*) > 1), ma as (select apif_id from pairs group by 1 having count(*) > 1), good as (select * from pairs where tm_id not in (select tm_id from mt) and apif_id not in (select apif_id from ma))"
@@ -209,7 +214,7 @@ def group_sizes(s, d):
 @query("select key, count(*) n, min(profile_id) canonical from (select lower(trim(display_name)) || '|' || coalesce(strftime(date_of_birth, '%Y-%m-%d'), '') key, profile_id from profile_players_staging where display_name is not null) group by 1 having count(*) > 1")
 def first_wins_collisions(s, d):
     p = table(s, d, "profile_players_staging").where("display_name is not null")
-    key = F.concat_ws("|", F.lower(F.trim("display_name")), F.coalesce(F.date_format("date_of_birth", "yyyy-MM-dd"), F.lit("")))
+    key = F.concat_ws("|", _plain_lower(F.trim("display_name")), F.coalesce(F.date_format("date_of_birth", "yyyy-MM-dd"), F.lit("")))
     ranked = reconcile.first_of(p.select(key.alias("key"), "profile_id"), ["key"], [F.col("profile_id")])
     return ranked.groupBy("key").agg(F.count("*").alias("n"), F.max(F.when(F.col("_rank") == 1, F.col("profile_id"))).alias("canonical")).where("n > 1")
 
@@ -251,6 +256,59 @@ def semi_or_ids(s, d):
     return p.join(x, "tm_id", "left").join(y, "apif_id", "left").where("_x or _y").groupBy("tm_id").agg(F.max("tm_name").alias("tm_name"))
 
 
+@query("select p.id, coalesce(a.current_club, b.current_club) current_club from (select distinct id, known_as, full_legal_name from players) p left join (select player_id, max(current_club) current_club from player_career where current_club is not null group by 1) a on a.player_id = p.id left join (select player_id, max(current_club) current_club from player_career where current_club is not null group by 1) b on b.player_id = p.known_as")
+def lookup_chain(s, d):
+    rows = table(s, d, "players").select("id", "known_as", "full_legal_name").distinct()
+    clubs = table(s, d, "player_career").where("current_club is not null").select(F.col("player_id").alias("k"), "current_club")
+    return records.lookup(rows, clubs, "k", ["id", "known_as"], ["current_club"]).select("id", "current_club")
+
+
+@query("select distinct tm_id, apif_id, coalesce(contains(lower(tm_birth_country), lower(trim(nationality))) or contains(lower(trim(nationality)), lower(tm_birth_country)) or contains(lower(apif_birth_country), lower(trim(nationality))) or contains(lower(trim(nationality)), lower(apif_birth_country)), true) plausible from dedup_pairs where tm_birth_country is not null and apif_birth_country is not null")
+def plausible_nationality(s, d):
+    p = table(s, d, "dedup_pairs").where("tm_birth_country is not null and apif_birth_country is not null")
+    return p.select("tm_id", "apif_id", records.plausible(F.col("nationality"), F.array("tm_birth_country", "apif_birth_country")).alias("plausible")).distinct()
+
+
+@query("select entity, field, string_agg(source || '=' || value, ' | ' order by source || '=' || value) sources from (select distinct profile_id entity, 'current_club' field, coalesce(match_tier, 'none') source, current_club \"value\" from profile_players_staging where current_club is not null) group by 1, 2")
+def review_lines(s, d):
+    p = table(s, d, "profile_players_staging").where("current_club is not null")
+    return records.review_lines(p.select(F.col("profile_id").alias("entity"), F.lit("current_club").alias("field"), F.coalesce("match_tier", F.lit("none")).alias("source"), F.col("current_club").alias("value")))
+
+
+@query("select p.id, full_legal_name, c.current_club club, c.jersey number, t.caps caps from (select id, max(full_legal_name) full_legal_name from players group by 1) p left join (select player_id, max({'a': current_club, 'b': current_jersey_number}).a current_club, max({'a': current_club, 'b': current_jersey_number}).b jersey from player_career where current_club is not null and current_jersey_number is not null group by 1) c on c.player_id = p.id left join (select player_id, max(international_caps) caps from player_tournament where international_caps is not null group by 1) t on t.player_id = p.id")
+def golden_record(s, d):
+    identity = table(s, d, "players").groupBy("id").agg(F.max("full_legal_name").alias("full_legal_name"))
+    career = table(s, d, "player_career").where("current_club is not null and current_jersey_number is not null").withColumnRenamed("player_id", "id")
+    cup = table(s, d, "player_tournament").where("international_caps is not null").withColumnRenamed("player_id", "id")
+    g = records.golden(identity, {"career": (career, ["current_club", "current_jersey_number"]), "cup": (cup, ["international_caps"])}, "id")
+    return g.select("id", "full_legal_name", F.col("career.current_club").alias("club"), F.col("career.current_jersey_number").alias("number"), F.col("cup.international_caps").alias("caps"))
+
+
+@query("""with k as (select id, max(height_cm) height_cm, max(current_club_name) club from pipeline_players where id not like 'apif_%' group by 1), l as (select tm_id id, max(apif_height_cm) height_cm, max(apif_club) club from dedup_pairs group by 1)
+select k.id, coalesce(l.club, k.club) club, case when l.height_cm > 100 and l.height_cm < 230 then l.height_cm else k.height_cm end height_cm, case when l.id is null then 'not_found' when coalesce(l.club, k.club) is distinct from k.club or (case when l.height_cm > 100 and l.height_cm < 230 then l.height_cm else k.height_cm end) is distinct from k.height_cm then 'updated' else 'no_changes' end status from k left join l on k.id = l.id""")
+def live_compare(s, d):
+    known = table(s, d, "pipeline_players").where(~F.col("id").like("apif_%")).groupBy("id").agg(F.max("height_cm").alias("height_cm"), F.max("current_club_name").alias("club"))
+    live_rows = table(s, d, "dedup_pairs").groupBy(F.col("tm_id").alias("id")).agg(F.max("apif_height_cm").alias("height_cm"), F.max("apif_club").alias("club"))
+    return records.live_changes(known, live_rows, "id", ["club"], [], "height_cm")
+
+
+@query("select id, name, nationality from (select distinct id, name, nationality from pipeline_players) where contains(lower(name), 'mateo') order by case when lower(name) = 'mateo' then 0 else 1 end, id limit 5")
+def name_search(s, d):
+    return records.search(table(s, d, "pipeline_players").select("id", "name", "nationality").distinct(), "Mateo", ["name"], [F.col("id")])
+
+
+@query("select count(*) n from (select profile_id from profile_players_staging group by 1 having min(created_at) < (select min(updated_at) from profile_players_staging))")
+def legacy_rows(s, d):
+    p = table(s, d, "profile_players_staging")
+    first = p.agg(F.min("updated_at").alias("first"))
+    return p.groupBy("profile_id").agg(F.min("created_at").alias("created")).crossJoin(F.broadcast(first)).where("created < first").agg(F.count("*").alias("n"))  # one row
+
+
+@query("select id, lower(full_legal_name || ' ' || known_as) words from (select distinct id, full_legal_name, known_as from players where full_legal_name is not null and known_as is not null)")
+def search_column(s, d):
+    return table(s, d, "players").where("full_legal_name is not null and known_as is not null").select("id", _plain_lower(F.concat_ws(" ", "full_legal_name", "known_as")).alias("words")).distinct()
+
+
 # -- queries that SQL can't express; tests hold them against brute force --------------------------------------------
 
 
@@ -301,6 +359,12 @@ def readonly_sql(s, d):
     return readonly.answer(s, "select nationality, count(*) as n from pipeline_players group by 1 order by n desc, nationality limit 20", {"pipeline_players": table(s, d, "pipeline_players")})
 
 
+@query()
+def nickname_lists(s, d):
+    """Nicknames of each player as a plain list."""
+    return table(s, d, "players").select("id", records.as_list(F.col("nicknames"), "nickname").alias("nicknames")).distinct()
+
+
 @query()
 def seed_lines(s, d):
     """INSERT statements of the reference clubs."""
