@@ -119,6 +119,9 @@ PASSES: list[list[tuple[str, ...]]] = [
     ],
 ]
 
+#: The rule whose matches may differ in the given name if one is a nickname of the other.
+NICKNAMED = ("s", "born", "pos")
+
 
 def keys(signed: DataFrame, rules: list[tuple[str, ...]], first: int) -> DataFrame:
     """(v, key): the keys that each record makes."""
@@ -141,7 +144,16 @@ def rule_of(key: Column) -> Column:
     return key.bitwiseAND(F.lit((1 << RULE_BITS) - 1).cast("long")).cast("int")
 
 
-def agreeing(x: str, y: str) -> Column:
+def nicknames(candidates: DataFrame, least: int = 3, share: float = 0.5) -> DataFrame:
+    """(gx, gy): given names of which one stands for the other, learned from candidates (t, a, gx, gy) that agree in all but the
+    given name. Relatives of one birth date bring any two names together, each pair seldom; a nickname comes with its own
+    name over and over. Counted over all candidates: at least `least` pairs, and that share of all pairs of the rarer name."""
+    n = candidates.where("gx <> gy").groupBy("gx", "gy").agg(F.count_distinct("t").alias("n"))
+    tx, ty = n.groupBy("gx").agg(F.sum("n").alias("nx")), n.groupBy("gy").agg(F.sum("n").alias("ny"))
+    return n.join(tx, "gx").join(ty, "gy").where((F.col("n") >= least) & (F.col("n") >= share * F.least("nx", "ny"))).select("gx", "gy")
+
+
+def agreeing(x: str, y: str, initials: bool = True) -> Column:
     """Whether two signatures can be of one person: birth dates equal, or one unknown, or one a slip of the other (day and
     month exchanged, a day or a year off, the first of the month or of January for an unknown day); positions equal or one
     unknown; heights within 3 cm; initials of the given names that meet, or unknown ones."""
@@ -155,8 +167,12 @@ def agreeing(x: str, y: str) -> Column:
     )
     pos = F.col(f"{x}.pos") == F.col(f"{y}.pos")
     height = F.abs(F.col(f"{x}.height") - F.col(f"{y}.height")) <= 3
-    initials = F.arrays_overlap(f"{x}.initials", f"{y}.initials")  # null where only an unknown one could meet
-    return F.coalesce(slip, F.lit(True)) & F.coalesce(pos, F.lit(True)) & F.coalesce(height, F.lit(True)) & F.coalesce(initials, F.lit(True))
+    rest = F.coalesce(slip, F.lit(True)) & F.coalesce(pos, F.lit(True)) & F.coalesce(height, F.lit(True))
+    return rest & same_initials(x, y) if initials else rest
+
+
+def same_initials(x: str, y: str) -> Column:
+    return F.coalesce(F.arrays_overlap(f"{x}.initials", f"{y}.initials"), F.lit(True))  # null where only an unknown one could meet
 
 
 def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None) -> DataFrame:
@@ -173,9 +189,18 @@ def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None
         single = keys(remaining, rules, first).groupBy("key").agg(F.min(t).alias("t"), F.max(t).alias("t2"), F.min(a).alias("a"), F.max(a).alias("a2")).where("t = t2 and a = a2").select("t", "a", rule_of(F.col("key")).alias("rule"))
         fit = single.groupBy("t", "a").agg(F.min("rule").alias("rule"), F.count("*").cast("int").alias("n"))
         if n:
-            about = remaining.select("v", F.struct("born", "pos", "height", "initials").alias("s"))
-            x, y = about.withColumnsRenamed({"v": "t", "s": "x"}), about.withColumnsRenamed({"v": "a", "s": "y"})
-            fit = fit.join(x, "t").join(y, "a").where(agreeing("x", "y")).groupBy("t", "a").agg(F.min("rule").alias("rule"), F.max("n").alias("n"))
+            about = remaining.select("v", F.struct("born", "pos", "height", "initials").alias("s"), F.expr("try_element_at(filter(transform(names, x -> x.g), g -> g is not null), 1)").alias("g"))
+            x, y = about.withColumnsRenamed({"v": "t", "s": "x", "g": "gx"}), about.withColumnsRenamed({"v": "a", "s": "y", "g": "gy"})
+            met = fit.join(x, "t").join(y, "a").where(agreeing("x", "y", initials=False)).select("t", "a", "rule", "n", "gx", "gy", same_initials("x", "y").alias("same"))
+            exact = first + rules.index(NICKNAMED) if NICKNAMED in rules else None
+            if exact is not None:  # the same family name, birth date and position under another given name
+                met = materialize(met, "met")
+                other = met.where(~F.col("same") & (F.col("rule") == exact)).select("t", "a", "rule", "n", "gx", "gy")
+                known = other.join(nicknames(other), ["gx", "gy"]).select("t", "a", "rule", "n")
+                met = met.where("same").select("t", "a", "rule", "n").unionByName(known)
+            else:
+                met = met.where("same")
+            fit = met.groupBy("t", "a").agg(F.min("rule").alias("rule"), F.max("n").alias("n"))
         # votes, rule and partner as one number each way: aggregated by hash, without sorting
         rank = F.col("n") * 128 - F.col("rule")
         of_t = fit.groupBy("t").agg(F.max(rank).alias("best"))

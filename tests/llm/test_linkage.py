@@ -62,6 +62,13 @@ def test_a_key_of_a_third_of_all_rows_matches_nobody(spark):
     assert run(spark, *rows) == {("900", "apif_900")}
 
 
+def test_nicknames_are_learned_from_repetition(spark):
+    surnames = ["Gevotavín", "Binaduélar", "Stelimbeth", "Dindamund", "Kackelank"]
+    rows = [row(str(10 + i), f"José {s}", f"199{i}-03-10") for i, s in enumerate(surnames)] + [row(f"apif_{i + 1}", f"Pepe {s}", f"199{i}-03-10") for i, s in enumerate(surnames)]
+    twins = [row("90", "Óscar Vudedegrín", "1998-09-29"), row("apif_90", "Gonzalo Vudedegrín", "1998-09-29")]
+    assert run(spark, *rows, *twins) == {(str(10 + i), f"apif_{i + 1}") for i in range(len(surnames))}
+
+
 def test_confidence_is_smoothed_precision(spark):
     m = spark.createDataFrame([(1, -1, 1), (2, -2, 1), (3, -3, 1), (9, -9, 2)], "t long, a long, rule int")
     labels = spark.createDataFrame([(1, -1), (1, -1), (2, -5), (4, -4)], "t long, a long")
