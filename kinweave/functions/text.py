@@ -20,7 +20,41 @@ CLUB_STOPWORDS = (
     "athletic", "atletik", "athletics", "real", "verein", "sportverein", "association", "limited", "ltd", "plc", "ag", "gmbh", "team", "dubai", "1893", "1907", "1899", "1904", "1905", "1909", "04", "05",
 )
 # Endings cut off a club's name, in this order, each once.
-CLUB_ENDINGS = (" fc", " cf", " sc", " ac", " fk", " sk", " bk", " if", " afc")
+CLUB_ENDINGS = (" fc", " f.c.", " football club", " s.p.a.", " s.a.", " s.a.s.", " s.c.", " plc", " ltd")
+# Short names of clubs and the names they stand for.
+CLUB_ALIASES = {
+    "man united": "manchester united",
+    "man city": "manchester city",
+    "spurs": "tottenham",
+    "wolves": "wolverhampton",
+    "hearts": "heart of midlothian",
+    "west ham": "west ham united",
+    "newcastle": "newcastle united",
+    "nottm forest": "nottingham forest",
+    "real sociedad": "real sociedad de futbol",
+    "atletico madrid": "atletico de madrid",
+    "bayern": "bayern munich",
+    "inter": "internazionale",
+    "ac milan": "associazione calcio milan",
+    "psg": "paris saint-germain",
+    "barca": "fc barcelona",
+}
+# Positions by broad category.
+POSITIONS = {
+    "fwd": ("centre-forward", "right winger", "left winger", "second striker", "attack", "forward", "striker", "fwd"),
+    "mid": ("central midfield", "defensive midfield", "attacking midfield", "right midfield", "left midfield", "midfield", "mid"),
+    "def": ("centre-back", "left-back", "right-back", "defender", "def"),
+    "gk": ("goalkeeper", "gk"),
+}
+# Spellings of countries and the one that is kept.
+COUNTRIES = {
+    "Curacao": "Curaçao",
+    "Cote d'Ivoire": "Côte d'Ivoire",
+    "Cote d\u2019Ivoire": "Côte d'Ivoire",
+    "Ivory Coast": "Côte d'Ivoire",
+    "USA": "United States",
+    "United States of America": "United States",
+}
 # Letters whose transliteration isn't their decomposition.
 TRANSLITERATED = {"ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "ı": "i", "ð": "d", "Ð": "D"}
 TRANSLITERATED_LONG = {"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "Th"}
@@ -99,12 +133,32 @@ def club_words(c: Column) -> Column:
     return F.filter(words, lambda w: (F.length(w) > 2) & ~w.isin(*CLUB_STOPWORDS))
 
 
-def normal_club(c: Column, aliases: dict[str, str] | None = None) -> Column:
-    """Lower case without the usual endings, known short names replaced."""
+def normal_club(c: Column, aliases: dict[str, str] = CLUB_ALIASES) -> Column:
+    """Lower case without the usual endings, known short names replaced; null for nothing."""
     t = F.trim(F.lower(c))
     for ending in CLUB_ENDINGS:
-        t = F.trim(F.regexp_replace(t, f"{ending}$", ""))
-    return recode(t, aliases or {})
+        t = F.regexp_replace(t, rf"\Q{ending}\E$", "")  # each step names its input once, so the expression grows by a step only
+    return F.nullif(recode(F.trim(t), aliases), F.lit(""))
+
+
+def normal_position(c: Column) -> Column:
+    """The broad category of a position; a position that is in none stays."""
+    return recode(F.trim(F.lower(c)), {p: broad for broad, listed in POSITIONS.items() for p in listed})
+
+
+def comparable(field: Column, value: Column) -> Column:
+    """A value as sources are compared on its field: dates by their day, numbers as whole numbers, clubs and positions normalized,
+    lists never, other text trimmed in lower case; null for nothing."""
+    day = F.substring(F.trim(value), 1, 10)
+    number = F.replace(value, F.lit(",")).try_cast("double").cast("bigint").cast("string")
+    return (
+        F.when(field == "date_of_birth", F.when(F.length(day) >= 8, day))
+        .when(field.isin("market_value_eur", "height_cm", "international_caps", "international_goals", "jersey_number"), number)
+        .when(field.isin("career_trajectory", "major_trophies"), F.lit(None).cast("string"))
+        .when(field == "current_club", normal_club(value))
+        .when(field == "position", normal_position(value))
+        .otherwise(F.nullif(F.trim(F.lower(value)), F.lit("")))
+    )
 
 
 def recode(c: Column, mapping: dict[str, str]) -> Column:

@@ -152,6 +152,11 @@ def strip_accents_ref(s, d):
     return table(s, d, "pipeline_players").where("name is not null").select("id", text.strip_accents_ref(F.col("name")).alias("stripped")).distinct()
 
 
+@query("select position, sub_position, case when lower(trim(sub_position)) in ('centre-forward', 'right winger', 'left winger', 'second striker') then 'fwd' when lower(trim(sub_position)) in ('central midfield', 'defensive midfield', 'attacking midfield', 'right midfield', 'left midfield') then 'mid' when lower(trim(sub_position)) in ('centre-back', 'left-back', 'right-back') then 'def' when lower(trim(sub_position)) = 'goalkeeper' then 'gk' else lower(trim(sub_position)) end broad, count(*) n from pipeline_players group by all")
+def broad_positions(s, d):
+    return table(s, d, "pipeline_players").groupBy("position", "sub_position").agg(F.count("*").alias("n")).withColumn("broad", text.comparable(F.lit("position"), F.col("sub_position")))
+
+
 @query("select team_name, count(*) variants, min(nationality_value) first_variant from wc_2026_team_map group by 1")
 def team_variants(s, d):
     return table(s, d, "wc_2026_team_map").groupBy("team_name").agg(F.count("*").alias("variants"), F.min("nationality_value").alias("first_variant"))

@@ -49,6 +49,13 @@ def test_reasons_and_names(spark):
     assert one(spark, lambda c: text.sql_array(F.array(c).cast("array<string>")), None) == "'{}'"
 
 
+def test_comparable_values(spark):
+    cases = [("date_of_birth", "2000-01-02T00:00", "2000-01-02"), ("date_of_birth", "2000", None), ("market_value_eur", "1,500,000.9", "1500000"), ("height_cm", "tall", None), ("career_trajectory", "x", None), ("current_club", "Man City F.C.", "manchester city"), ("current_club", " ", None), ("position", "Left Winger", "fwd"), ("position", "Libero", "libero"), ("agent", " Bob ", "bob")]
+    df = spark.createDataFrame(cases, "f string, v string, e string")
+    assert [r for r in df.select("f", "v", "e", text.comparable(F.col("f"), F.col("v")).alias("x")).collect() if r["x"] != r["e"]] == []
+    assert one(spark, lambda c: text.recode(c, text.COUNTRIES), "USA") == "United States"
+
+
 def test_missing_values(spark):
     assert [one(spark, lambda c, p=p: nulls.null_if_sentinel(c, p), v) for v, p in (("N/A", "merge"), ("x", "merge"), ("NULL", "verified_new"), ("inf", "literal"), ("", "ingest"))] == [None, "x", None, None, ""]
     assert one(spark, nulls.present, " null ") is False
