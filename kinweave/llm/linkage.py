@@ -21,7 +21,7 @@ from kinweave.storage import Written, materialize
 #: Beta prior of a rule's precision: as if so many labelled pairs had been right and wrong.
 PRIOR = (4.0, 1.0)
 #: Bits of a key that hold the rule's number.
-RULE_BITS = 5
+RULE_BITS = 6
 #: Letters of a word that counts as a family name beside the longest word of a name.
 LONG = 8
 
@@ -79,11 +79,11 @@ def signatures(players: DataFrame) -> DataFrame:
     make no key.
     """
     number = F.expr(r"try_cast(regexp_extract(id, '^\\s*(?:apif_)?([1-9][0-9]{0,17})\\s*$', 1) as bigint)")
-    value = lambda c: F.nullif(F.xxhash64(F.lower(F.trim(c))), F.xxhash64(F.lit("")))
+    value = lambda c: F.nullif(F.replace(plain(F.col(c)), F.lit(" "), F.lit("")), F.lit(""))
     t = players.select(
         F.when(F.contains(F.lower("id"), F.lit("apif")), -number).otherwise(number).alias("v"), _tokens(F.col("name")).alias("a"), _tokens(F.col("name_short")).alias("b"),
         F.col("date_of_birth").alias("born"), F.lower(F.substring(F.trim("position"), 1, 1)).alias("pos"), F.col("height_cm").alias("height"),
-        *[F.when(F.trim(c) != "", value(c)).alias(n) for c, n in (("city_of_birth", "city"), ("nationality", "nation"), ("current_club_name", "club"))],
+        *[F.when(value(c).isNotNull(), F.xxhash64(value(c))).alias(n) for c, n in (("city_of_birth", "city"), ("nationality", "nation"), ("current_club_name", "club"))],
     ).where("v is not null")
     given, second = F.try_element_at(F.col("a"), F.lit(1)), F.try_element_at(F.col("a"), F.lit(2))
     none = F.array().cast(_NO_NAMES)
@@ -117,6 +117,12 @@ PASSES: list[list[tuple[str, ...]]] = [
         ("s", "g", "pos", "city"), ("s", "g", "pos", "club"), ("s", "g", "pos", "height"), ("s", "i", "pos", "city"), ("s", "i", "pos", "club"), ("s", "i", "year", "pos"), ("s", "g", "pos"), ("s", "born", "pos"),
         ("head", "g", "year", "pos"), ("tail", "g", "year", "pos"), ("s", "i", "pos", "height"), ("short", "year", "pos", "nation"),
     ],
+    [
+        ("head", "g", "born"), ("tail", "g", "born"), ("s", "g", "loose"), ("s", "g", "year", "month"), ("s", "i", "year", "pos", "city"), ("s", "i", "day", "pos"), ("s", "g", "pos", "height", "nation"),
+        ("s", "i", "pos", "city", "height"), ("s", "i", "year", "pos", "nation"), ("s", "born", "pos", "height"), ("s", "born", "pos", "city"), ("head", "i", "loose", "pos"), ("tail", "i", "loose", "pos"),
+        ("head", "g", "year", "pos", "nation"), ("tail", "g", "year", "pos", "nation"), ("s", "g", "pos", "nation"), ("head", "g", "pos", "city", "height"), ("s", "i", "pos", "height", "nation"),
+        ("born", "pos", "city", "height"), ("born", "pos", "club", "height"),
+    ],
 ]
 
 #: The rule whose matches may differ in the given name if one is a nickname of the other.
@@ -134,7 +140,7 @@ def reading_keys(read: DataFrame, record: str, rules: list[tuple[str, ...]], fir
     """(record, key) of readings (record, s, i, g, born, ...): one key for each rule all of whose parts are known. The low bits of
     a key are the rule's number, first and on; the rest is a hash, which the rows of one rule share by what they agree in."""
     born, wanted = F.col("born"), {p for r in rules for p in r}
-    parts = {"head": _head(F.col("s")), "tail": _tail(F.col("s")), "loose": _loose(born), "year": F.year(born), "day": F.month(born) * 100 + F.dayofmonth(born)}
+    parts = {"head": _head(F.col("s")), "tail": _tail(F.col("s")), "loose": _loose(born), "year": F.year(born), "month": F.month(born), "day": F.month(born) * 100 + F.dayofmonth(born)}
     read = read.select("*", *[c.alias(n) for n, c in parts.items() if n in wanted])  # what rules share is made once
     made = [F.when(reduce(lambda x, y: x & y, [F.col(p).isNotNull() for p in r]), F.shiftleft(F.xxhash64(*r), RULE_BITS).bitwiseOR(F.lit(first + n).cast("long"))) for n, r in enumerate(rules)]
     return read.select(record, F.explode(F.array(*made)).alias("key")).where("key is not null")

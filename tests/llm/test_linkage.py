@@ -89,3 +89,15 @@ def test_recall_and_precision_on_staged_profiles(spark, data):
     partner = dict(labels)
     assert len(labels & got) >= 0.95 * len(labels)
     assert sum(t in partner and partner[t] != a for t, a in got) <= 0.01 * len(labels)
+
+
+def test_weak_evidence_in_the_last_pass(spark):
+    """Each pair meets by one rule of the last pass only: two slips at once, or no position to go by."""
+    pairs = [
+        (row("1", "Hugo Gevotavín", "1999-03-10"), row("apif_1", "H. Gevotavín", "1998-03-10", club="VfL Else", city="Pelkadu", height=181)),
+        (row("2", "Oliver Stelimbethwick", "1991-03-10", pos=None), row("apif_2", "Oliver Stelimbethwik", "1991-03-10", pos=None)),
+        (row("3", "Lukas Kackelankwitz", "1992-03-10"), row("apif_3", "L. Kackelankwizt", "1992-10-03")),
+        (row("4", "Bakary Ndudiwedjou", None, city="São Pelka-du"), row("apif_4", "Bakary Ndudiwedjeu", "1993-05-06", city="Sao Pelkadu", club="VfL Else")),
+        (row("5", "Torben Dindamund", "1994-07-08", club="1. FC Köln"), row("apif_5", "T. Brinissor", "1994-07-08", club="1 FC Koeln", city=None)),
+    ]
+    assert run(spark, *[r for pair in pairs for r in pair]) == {(str(i), f"apif_{i}") for i in range(1, 6)}
