@@ -41,18 +41,30 @@ def _letters() -> tuple[str, str]:
     return "".join(a) + "".join(map(chr, range(0x300, 0x370))), "".join(b)
 
 
+_UMLAUTS = ("ae", "oe", "ue")
+
+
+def _unaccented(c: Column) -> Column:
+    return F.translate(F.lower(c), *_letters())
+
+
+def _short_umlauts(c: Column) -> Column:
+    return reduce(lambda x, pair: F.replace(x, F.lit(pair), F.lit(pair[0])), _UMLAUTS, c)
+
+
 def plain(c: Column) -> Column:
     """Lower-case letters without accents; the two-letter spellings of an umlaut become one letter."""
-    c = F.translate(F.lower(c), *_letters())
-    for pair in ("ae", "oe", "ue"):
-        c = F.replace(c, F.lit(pair), F.lit(pair[0]))
-    return c
+    return _short_umlauts(_unaccented(c))
 
 
 def _tokens(c: Column) -> Column:
-    """The words of a name, the given name first where a comma tells."""
+    """The words of a name, the given name first where a comma tells. A word of three letters keeps them: Noé is no initial."""
     c = F.when(F.contains(c, F.lit(",")), F.concat_ws(" ", F.substring_index(c, ",", -1), F.substring_index(c, ",", 1))).otherwise(c)
-    return F.filter(F.split(plain(c), " "), lambda t: t != "")
+    c = _unaccented(c)
+    umlaut = reduce(lambda x, y: x | y, [F.contains(c, F.lit(pair)) for pair in _UMLAUTS])
+    words = F.split(c, " ")
+    folded = F.when(umlaut, F.transform(words, lambda t: F.when(F.length(t) > 3, _short_umlauts(t)).otherwise(t))).otherwise(words)
+    return F.filter(folded, lambda t: t != "")
 
 
 def _names(tokens: Column, fallback: Column | None = None) -> Column:

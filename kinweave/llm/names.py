@@ -23,7 +23,9 @@ Q, SIMILAR, SPELT = 3, 0.6, 6
 #: Numbers that q-grams are hashed to: bounds the table of their counts, whatever the alphabet.
 GRAMS = 1 << 15
 #: What must agree for two names to meet, strongest first: s is a family name or a nickname, g the given name, i its initial.
-RULES = [("s", "i", "born"), ("s", "g", "year"), ("s", "g", "day"), ("s", "born"), ("s", "g", "city"), ("s", "g", "nation")]
+RULES = [
+    ("s", "i", "born"), ("s", "g", "year"), ("s", "g", "day"), ("s", "born"), ("s", "i", "loose"), ("s", "g", "city"), ("s", "i", "year", "nation"), ("s", "i", "city", "height"), ("s", "g", "nation"),
+]
 #: A given name and the initial of the word after it, with the birth date: "Given S. Second" beside "Given S".
 SHORT_RULES = [("s", "born")]
 
@@ -98,8 +100,8 @@ def records(rows: DataFrame) -> DataFrame:
 
 
 def _sayings(t: DataFrame, key: str) -> DataFrame:
-    """(key, born, city, nation, s, i, g): one row for each reading."""
-    return t.select(key, "born", "city", "nation", F.explode("names").alias("n")).select(key, "born", "city", "nation", "n.s", "n.i", "n.g")
+    """(key, born, height, city, nation, s, i, g): one row for each reading."""
+    return t.select(key, "born", "height", "city", "nation", F.explode("names").alias("n")).select(key, "born", "height", "city", "nation", "n.s", "n.i", "n.g")
 
 
 def _short_keys(t: DataFrame, key: str) -> DataFrame:
@@ -134,7 +136,7 @@ def link(rows: DataFrame, players: DataFrame) -> DataFrame:
     ref_table, rec_table = Written(references(players), "references"), Written(records(rows), "records")
     ref, rec = ref_table.df, rec_table.df
     nothing = F.lit(None).cast("string")
-    nicks = ref.select("ref", "born", "city", "nation", F.explode("nicks").alias("s"), nothing.alias("i"), nothing.alias("g"))
+    nicks = ref.select("ref", "born", "height", "city", "nation", F.explode("nicks").alias("s"), nothing.alias("i"), nothing.alias("g"))
     known, typed = _sayings(ref, "ref").unionByName(nicks), _sayings(rec, "rec")
     dictionary = materialize(spellings(typed.select(F.col("s").alias("word")).distinct(), known.select(F.col("s").alias("word")).distinct()), "spellings")
     single = reading_keys(known, "ref", RULES, 1).unionByName(_short_keys(ref, "ref")).groupBy("key").agg(F.min("ref").alias("ref"), F.max("ref").alias("last")).where("ref = last").select("key", "ref")

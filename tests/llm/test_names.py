@@ -86,3 +86,13 @@ def test_nulls_blanks_repeats_and_empty(spark):
     assert run(spark, records, players) == {("p", "3")}
     assert link(*frames(spark, records, players)).count() == 1
     assert run(spark, [], players) == set() and run(spark, records, []) == set()
+
+
+def test_initial_with_a_slipped_or_missing_date(spark):
+    """Each row meets its player by an initial and a swapped date, a wrong day, a missing date; or by a short given name."""
+    players = [ply("p", "Hugo Binaduélar", "Hugo Binaduélar"), ply("q", "Tomás Gevotavín", "Tomás Gevotavín"), ply("r", "Oliver Stelimbeth", "Oliver Stelimbeth"), ply("s", "Noé Dindamund", "Noé Dindamund")]
+    records = [
+        rec("1", "H. Binaduélar", "H. Binaduélar", born="1999-10-03", nation="Else", city="Else"), rec("2", "T. Gevotavín", "T. Gevotavín", born="1999-03-11", city="Else"),
+        rec("3", "O. Stelimbeth", "O. Stelimbeth", born=None), rec("4", "Noé Dindamund", "Noé Dindamund", born="1998-03-10", height=181, nation="Else", city="Else"),
+    ]
+    assert run(spark, records, players) == {("p", "1"), ("q", "2"), ("r", "3"), ("s", "4")}
