@@ -2,7 +2,8 @@
 
 A rule is an exact join on a combination of attributes. It needs no join operator: both sources' keys go through one
 aggregation that keeps the smallest and largest id of each source, and a key that one record of each source holds is a
-match. So a key shared by a third of all rows costs one buffer and yields nothing, where a join would yield its square.
+match. The holders of other keys that both sources have are told apart by birth date, position, height and initials: equal
+ones are collapsed before they meet, so that a key shared by a third of all rows doesn't cost its square.
 Each pass of the cascade takes weaker combinations, over the records that no earlier pass resolved; matches of the weaker
 passes must not contradict each other in birth date, first name or position. Each rule's confidence is its precision
 against labelled pairs, smoothed.
@@ -193,21 +194,64 @@ def same_initials(x: str, y: str) -> Column:
     return F.coalesce(F.arrays_overlap(f"{x}.initials", f"{y}.initials"), F.lit(True))  # null where only an unknown one could meet
 
 
+def slip_codes(born: Column, left: bool) -> Column:
+    """Numbers of which two birth dates, one of each side, share at least one if agreeing() lets them be of one person."""
+    year, month, day, at = F.year(born), F.month(born), F.dayofmonth(born), F.unix_date(born)
+    start, months = day == 1, year * 12 + month
+    new_year = start & (month == 1)
+    code = lambda kind, n: F.lit(kind * 10_000_000).cast("long") + n
+    any_left, any_right = code(6, F.lit(0)), code(7, F.lit(0))  # an unknown date of the left, of the right side meets every one
+    if left:
+        swapped = F.when(day <= 12, F.unix_date(F.make_date(year, day, month)))
+        made = [at, at - 1, at + 1, F.unix_date(F.add_months(born, -12)), F.unix_date(F.add_months(born, 12)), swapped, code(2, year), F.when(new_year, code(3, year)), code(4, months), F.when(start, code(5, months)), any_right]
+    else:
+        made = [at, F.when(new_year, code(2, year)), code(3, year), F.when(start, code(4, months)), code(5, months), any_left]
+    known = F.array_distinct(F.filter(F.array(*[m.cast("long") for m in made]), lambda c: c.isNotNull()))
+    return F.when(born.isNull(), F.array(any_left, any_right)).otherwise(known)
+
+
+def only_agreeing(members: DataFrame) -> DataFrame:
+    """(key, t, a): of the holders of each key in members(key, v, s), those that are each other's only agreeing one.
+
+    Holders are first collapsed to what agreeing() reads, and these meet by date, so that a key costs its different
+    signatures, never the square of its rows.
+    """
+    m = members.withColumn("p", F.to_json("s"))
+    kinds = m.groupBy("key", F.col("v") > 0, "p", "s").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    t_side, a_side = m.where("v > 0"), m.where("v < 0")
+    x = kinds.where("hi > 0").select("key", F.col("p").alias("px"), F.col("s").alias("x"), F.col("lo").alias("xlo"), F.col("hi").alias("xhi"), F.explode(slip_codes(F.col("s.born"), True)).alias("code"))
+    y = kinds.where("hi < 0").select("key", F.col("p").alias("py"), F.col("s").alias("y"), F.col("lo").alias("ylo"), F.col("hi").alias("yhi"), F.explode(slip_codes(F.col("s.born"), False)).alias("code"))
+    met = x.join(y, ["key", "code"]).where(agreeing("x", "y"))
+    of_x = met.groupBy("key", F.col("px").alias("p")).agg(F.min("ylo").alias("lo"), F.max("yhi").alias("hi"))
+    of_y = met.groupBy("key", F.col("py").alias("p")).agg(F.min("xlo").alias("lo"), F.max("xhi").alias("hi"))
+    one = lambda side, of: side.join(of, ["key", "p"]).groupBy("key", "v").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo = hi")
+    of_t = one(t_side, of_x).select("key", F.col("v").alias("t"), F.col("lo").alias("a"))
+    of_a = one(a_side, of_y).select("key", F.col("lo").alias("t"), F.col("v").alias("a"))
+    return of_t.join(of_a, ["key", "t", "a"])
+
+
 def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None) -> DataFrame:
     """(t, a, rule): matched records of the first and the second source, at most one partner each, and the strongest rule
     that matched them.
 
     A record that several keys of one pass lead to different partners goes to the partner most rules lead to, and to none
-    if that is not mutual. The first pass needs no further agreement.
+    if that is not mutual. The first pass needs no further agreement where one record of each source holds a key; of
+    several holders those match who are each other's only agreeing one.
     """
     passes = PASSES if passes is None else passes
     matched, first, remaining = [], 1, signed
     for n, rules in enumerate(passes):
         t, a = F.when(F.col("v") > 0, F.col("v")), F.when(F.col("v") < 0, F.col("v"))
-        single = keys(remaining, rules, first).groupBy("key").agg(F.min(t).alias("t"), F.max(t).alias("t2"), F.min(a).alias("a"), F.max(a).alias("a2")).where("t = t2 and a = a2").select("t", "a", rule_of(F.col("key")).alias("rule"))
+        made = keys(remaining, rules, first)
+        held = materialize(made.groupBy("key").agg(F.min(t).alias("t"), F.max(t).alias("t2"), F.min(a).alias("a"), F.max(a).alias("a2")).where("t is not null and a is not null"), f"held{n + 1}")
+        single = held.where("t = t2 and a = a2").select("t", "a", rule_of(F.col("key")).alias("rule"))
+        about = remaining.select("v", F.struct("born", "pos", "height", "initials").alias("s"), F.expr("try_element_at(filter(transform(names, x -> x.g), g -> g is not null), 1)").alias("g"))
+        # keys of several holders on a side: only those who agree count
+        several = made.join(held.where("t < t2 or a < a2").select("key"), "key", "left_semi").distinct()
+        members = materialize(several.join(about.select("v", "s").distinct(), "v"), f"several{n + 1}")
+        single = single.unionByName(only_agreeing(members).select("t", "a", rule_of(F.col("key")).alias("rule")))
         fit = single.groupBy("t", "a").agg(F.min("rule").alias("rule"), F.count("*").cast("int").alias("n"))
         if n:
-            about = remaining.select("v", F.struct("born", "pos", "height", "initials").alias("s"), F.expr("try_element_at(filter(transform(names, x -> x.g), g -> g is not null), 1)").alias("g"))
             x, y = about.withColumnsRenamed({"v": "t", "s": "x", "g": "gx"}), about.withColumnsRenamed({"v": "a", "s": "y", "g": "gy"})
             met = fit.join(x, "t").join(y, "a").where(agreeing("x", "y", initials=False)).select("t", "a", "rule", "n", "gx", "gy", same_initials("x", "y").alias("same"))
             exact = first + rules.index(NICKNAMED) if NICKNAMED in rules else None

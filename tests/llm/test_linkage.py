@@ -101,3 +101,9 @@ def test_weak_evidence_in_the_last_pass(spark):
         (row("5", "Torben Dindamund", "1994-07-08", club="1. FC Köln"), row("apif_5", "T. Brinissor", "1994-07-08", club="1 FC Koeln", city=None)),
     ]
     assert run(spark, *[r for pair in pairs for r in pair]) == {(str(i), f"apif_{i}") for i in range(1, 6)}
+
+
+def test_holders_of_one_key_are_told_apart(spark):
+    """Namesakes share every key that they make with their partners; only what agrees tells who is who."""
+    rows = [row("1", "Hugo Gevotavín", None, height=170), row("2", "Hugo Gevotavín", None, height=190), row("apif_1", "Hugo Gevotavín", None, height=171), row("apif_2", "Hugo Gevotavín", None, height=191)]
+    assert run(spark, *rows) == {("1", "apif_1"), ("2", "apif_2")}
