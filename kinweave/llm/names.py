@@ -1,11 +1,11 @@
 """Variant spellings of people's names linked to the person they mean.
 
-Words are joined, not names: the distinct words of the typed names meet the distinct words of the reference names in a
-set-similarity join on positional q-grams. Rarest q-grams first, a prefix of q + 2 is enough to meet every word that one
-changed, added or dropped letter or one exchange of neighbours away shares at least one with. Names then meet where a word,
-or the word it stands for, falls together with further evidence (given name or initial, birth date or a slip of it, place),
-by keys that a single reference row holds. Every meeting is verified by a soft weighted similarity of the names' words, in
-which a rare word counts more, and by attributes that must not contradict each other.
+The words of the typed short names meet the words of the reference names in a set-similarity join on token q-grams, equal
+words and misspelt ones alike: rarest q-grams first, only a prefix of them is joined, and pairs are kept that share as many
+q-grams as the allowed slips leave. A typed name then keeps the rarest of its words as its prefix: a reference that shares
+none of them can't reach the least similarity. Names meet by a word of that prefix within further evidence (a birth date or
+a slip of it, a place), and every meeting is verified by a soft weighted similarity of the names' words, in which a rare word
+counts more, and by attributes that must not contradict each other.
 """
 
 from __future__ import annotations
@@ -15,150 +15,244 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.linkage import _names, _tokens, agreeing, reading_keys, rule_of
+from kinweave.llm.linkage import _loose, _unaccented, agreeing, plain
 from kinweave.storage import Written, materialize
 
-#: Letters of a q-gram; the least similarity of a name; the least length of a word that may be misspelt.
-Q, SIMILAR, SPELT = 3, 0.6, 6
-#: Numbers that q-grams are hashed to: bounds the table of their counts, whatever the alphabet.
+#: Letters of a q-gram; slips (changed, added, dropped or exchanged letters) of a word.
+Q, SLIPS = 3, 1
+#: The least similarity of two names whose birth dates are equal, and of others; the share of the long name's words that a reference must know.
+SIMILAR, DOUBTFUL, LONG_NAME = 0.5, 0.6, 0.5
+#: Numbers that q-grams are hashed to when their prefixes meet: bounds the table of their counts, whatever the alphabet.
 GRAMS = 1 << 15
-#: What must agree for two names to meet, strongest first: s is a family name or a nickname, g the given name, i its initial.
-RULES = [
-    ("s", "i", "born"), ("s", "g", "year"), ("s", "g", "day"), ("s", "born"), ("s", "i", "loose"), ("s", "g", "city"), ("s", "i", "year", "nation"), ("s", "i", "city", "height"), ("s", "g", "nation"),
-]
-#: A given name and the initial of the word after it, with the birth date: "Given S. Second" beside "Given S".
-SHORT_RULES = [("s", "born")]
+#: Share of the weight of a word that one reference holds which a typed word weighs that no reference holds.
+UNKNOWN = 0.75
+#: How alike words must be, edits against length, to stand for each other once two names have met.
+ALIKE = 0.7
 
 
 def grams(words: DataFrame) -> DataFrame:
-    """(word, gram, pos): the positional q-grams of distinct words, their ends marked, as numbers of bounded range: equal
-    q-grams are equal numbers in any script."""
+    """(word, gram, pos): the positional q-grams of distinct words, their ends marked, as numbers of bounded range."""
     padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
     at = F.sequence(F.lit(1), F.length("word") + 3 - Q)
     number = F.pmod(F.xxhash64(F.expr(f"substring(p, pos, {Q})")), F.lit(GRAMS)).cast("int")
     return words.select("word", padded.alias("p"), F.explode(at).alias("pos")).select("word", number.alias("gram"), "pos")
 
 
-def prefixes(words: DataFrame, common: DataFrame) -> DataFrame:
-    """(word, gram, pos): the q + 2 rarest q-grams of each word. common(gram, n) has at most GRAMS rows."""
+def prefixes(words: DataFrame, common: DataFrame, length: int) -> DataFrame:
+    """(word, gram, pos): the rarest q-grams of each word. common(gram, n) has at most GRAMS rows."""
     known = grams(words).join(F.broadcast(common), "gram", "left")
     order = F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "pos")))
-    return known.groupBy("word").agg(F.slice(order, 1, Q + 2).alias("g")).select("word", F.explode("g").alias("g")).select("word", "g.gram", "g.pos")
-
-
-def spellings(typed: DataFrame, reference: DataFrame) -> DataFrame:
-    """(word, other, sim): words of typed(word) and the words of reference(word) they may stand for: themselves, or one
-    edit or exchange away. Distinct words in; words shorter than SPELT only stand for themselves."""
-    same = typed.join(reference, "word", "left_semi").select("word", F.col("word").alias("other"), F.lit(1.0).alias("sim"))
-    long = F.length("word") >= SPELT
-    odd = typed.where(long & ~F.contains("word", F.lit(" ")))  # a typed word that is also another's name may be a slip too
-    good = reference.where(long & ~F.contains("word", F.lit(" ")))
-    common = grams(good).groupBy("gram").agg(F.count("*").alias("n"))
-    a = prefixes(odd, common).select("word", "gram", F.explode(F.array(F.col("pos") - 1, F.col("pos"), F.col("pos") + 1)).alias("pos"))
-    b = prefixes(good, common).select(F.col("word").alias("other"), "gram", "pos")
-    met = a.join(b, ["gram", "pos"]).where(F.abs(F.length("word") - F.length("other")) <= 1).select("word", "other").distinct()
-    edits = F.levenshtein("word", "other", 2)
-    letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
-    near = met.where("word <> other").withColumn("d", edits).where("d between 0 and 2").where((F.col("d") == 1) | (letters("word") == letters("other")))
-    return same.unionByName(near.select("word", "other", (1 - F.col("d") / F.greatest(F.length("word"), F.length("other"))).alias("sim")))
-
-
-def _tokenized(df: DataFrame, columns: dict[str, str], rest: list[Column]) -> DataFrame:
-    """Each name column split into words before anything is made of them, so that the words are made once."""
-    return df.select("id", *[F.coalesce(_tokens(F.col(c)), F.array().cast("array<string>")).alias(n) for n, c in columns.items()], *rest)
-
-
-def _read(t: DataFrame, views: list[str], key: str) -> DataFrame:
-    """(key, id, names, shorts, words, initials, ...) of tokenized views of a name, the given name first. A reading that says
-    less than another of the same family name is left out."""
-    given = reduce(F.coalesce, [F.when(F.size(v) > 1, F.try_element_at(F.col(v), F.lit(1))) for v in views])
-    short = [F.when((F.size(v) > 1) & (F.length(F.try_element_at(F.col(v), F.lit(1))) >= 3), F.concat_ws(" ", F.try_element_at(F.col(v), F.lit(1)), F.substring(F.try_element_at(F.col(v), F.lit(2)), 1, 1))) for v in views]
-    rest = [c for c in t.columns if c not in ("id", *views)]
-    t = t.select(F.xxhash64("id").alias(key), "id", *rest, F.array_distinct(F.concat(*[_names(F.col(v), given) for v in views])).alias("n"), F.array_distinct(F.filter(F.array(*short), lambda x: x.isNotNull())).alias("shorts"), F.array_distinct(F.concat(*views)).alias("words"))
-    said = F.expr("filter(n, x -> x.g is not null or not exists(n, y -> y.s = x.s and y.g is not null))")
-    return t.select(key, "id", *rest, said.alias("names"), "shorts", "words", F.expr("array_distinct(filter(transform(n, x -> x.i), x -> x is not null))").alias("initials"))
+    return known.groupBy("word").agg(F.slice(order, 1, length).alias("g")).select("word", F.explode("g").alias("g")).select("word", "g.gram", "g.pos")
 
 
-def _hashed(c: str) -> Column:
-    return F.when(F.trim(c) != "", F.xxhash64(F.lower(F.trim(c))))
-
-
-def references(players: DataFrame) -> DataFrame:
-    """(ref, id, born, height, city, nation, nicks, names, shorts, words, initials) of the reference persons; ref is a 64-bit hash of the id."""
-    nick = F.expr("array_join(transform(from_json(nicknames, 'array<struct<nickname:string>>'), n -> n.nickname), ' ')")
-    rest = [F.col("date_of_birth").alias("born"), F.col("height_cm").alias("height"), _hashed("birth_city").alias("city"), _hashed("nationality_primary").alias("nation"), F.coalesce(_tokens(nick), F.array().cast("array<string>")).alias("nicks")]
-    t = _tokenized(players.where("id is not null"), {"a": "full_legal_name", "b": "known_as"}, rest)
-    return _read(t, ["a", "b"], "ref").distinct()
-
+def lost_grams(a: str, b: str) -> Column:
+    """How many different q-grams the word of more of them has that the other one hasn't, read from the words themselves; null if
+    they share none."""
+    every = lambda c: F.array_distinct(F.regexp_extract_all(F.concat(F.lit("^"), F.col(c), F.lit("$")), F.lit(f"(?=({'.' * Q}))"), F.lit(1)))
+    shared = F.size(F.array_intersect(every(a), every(b)))
+    return F.when(shared > 0, F.greatest(F.size(every(a)), F.size(every(b))) - shared)
 
-def records(rows: DataFrame) -> DataFrame:
-    """(rec, id, born, height, city, nation, names, shorts, words, initials) of the rows whose short name is not null. The long
-    name of the row stands beside the short one as a second spelling."""
-    rest = [F.col("date_of_birth").alias("born"), F.col("height_cm").alias("height"), _hashed("city_of_birth").alias("city"), _hashed("nationality").alias("nation")]
-    t = _tokenized(rows.where("id is not null and name_short is not null"), {"a": "name_short", "b": "name"}, rest)
-    return _read(t, ["b", "a"], "rec")
-
-
-def _sayings(t: DataFrame, key: str) -> DataFrame:
-    """(key, born, height, city, nation, s, i, g): one row for each reading."""
-    return t.select(key, "born", "height", "city", "nation", F.explode("names").alias("n")).select(key, "born", "height", "city", "nation", "n.s", "n.i", "n.g")
 
+def spellings(typed: DataFrame, reference: DataFrame, slips: int = SLIPS) -> DataFrame:
+    """(word, other, sim): words of typed(word) and the words of reference(word) they may stand for, equal or up to `slips`
+    edits or exchanges of neighbours away. Distinct words of two letters or more in.
 
-def _short_keys(t: DataFrame, key: str) -> DataFrame:
-    return reading_keys(t.select(key, "born", F.explode("shorts").alias("s")), key, SHORT_RULES, len(RULES) + 1)
-
-
-def soft_similarity(typed: Column, known: Column, rare: Column) -> Column:
-    """How much of the typed words' weight the known words (word, w) account for: each typed word takes its best partner, equal
-    or begun by it or spelt alike, with the partner's weight; a word without a partner weighs as much as a rare one."""
+    A slip costs a word at most Q + 1 of its q-grams, so partners share at least the longer one's number less that for each
+    slip, and one of the rarest (Q + 1) * slips + 1 at places no further apart than the slips. At least one q-gram must be
+    shared: only the middle letter of a word of three and an exchange within one of four leave none.
+    """
+    lost = (Q + 1) * slips
+    common = grams(reference).groupBy("gram").agg(F.count("*").alias("n"))
+    # where a shared q-gram can stand in the other word, and how long that can be: dropped or added letters move it
+    moves = F.array(*[F.struct(F.lit(n).alias("longer"), F.lit(p).alias("later")) for n in range(-slips, slips + 1) for p in range(-slips, slips + 1) if abs(p) + abs(n - p) <= slips])
+    place = lambda later, longer: F.xxhash64("gram", F.col("pos") + later, F.length("word") + longer).alias("place")
+    a = prefixes(typed, common, lost + 1).select("*", F.explode(moves).alias("m")).select("word", place(F.col("m.later"), F.col("m.longer")))
+    b = prefixes(reference, common, lost + 1).select(F.col("word").alias("other"), place(0, 0))
+    longer = F.greatest(F.length("word"), F.length("other"))
+    # an exchange is two edits that leave the letters as they are
+    letters = lambda c: F.array_join(F.sort_array(F.split(c, "")), "")
+    n = int(typed.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, many pairs: a fixed number isn't coalesced
+    met = a.repartition(n, "place").join(b.repartition(n, "place"), "place").select("word", "other", F.levenshtein("word", "other", 2 * slips).alias("d")).where("d >= 0")
+    near = met.groupBy("word", "other").agg(F.min("d").alias("d"))
+    kept = near.where(F.when((F.col("d") <= slips) | (F.levenshtein(letters("word"), letters("other")) <= 2 * (2 * slips - F.col("d"))), lost_grams("word", "other") <= lost))
+    return kept.select("word", "other", (1 - F.col("d") / longer).alias("sim"))
+
+
+def folded(c: Column) -> Column:
+    """A typed name in lower-case letters without accents, one blank between words, the given name first where a comma tells;
+    "Thom." becomes an initial."""
+    c = F.when(F.contains(c, F.lit(",")), F.concat_ws(" ", F.substring_index(c, ",", -1), F.substring_index(c, ",", 1))).otherwise(c)
+    return F.trim(F.regexp_replace(_unaccented(F.regexp_replace(c, r"(\p{L})\p{L}{1,3}\.", "$1 ")), r"\s+", " "))
+
+
+def words_of(name: str) -> Column:
+    """The different words of a folded name, without initials."""
+    long = F.trim(F.regexp_replace(F.regexp_replace(F.col(name), r"(?<!\S)\S(?!\S)", ""), r"\s+", " "))
+    return F.array_remove(F.array_distinct(F.split(long, " ")), "")
 
-    def best(t: Column) -> Column:
-        def one(k: Column) -> Column:
-            u = k["word"]
-            alike = 1 - F.levenshtein(t, u) / F.greatest(F.length(t), F.length(u))
-            sim = F.when(t == u, 1.0).when(F.startswith(u, t), 0.9).when(alike >= 0.7, alike).otherwise(0.0)
-            return F.struct((sim * k["w"]).alias("v"), F.when(sim > 0, k["w"]).otherwise(rare).alias("w"))
 
-        return F.array_max(F.transform(known, one))
+def _hashed(c: str) -> Column:
+    value = F.replace(plain(F.col(c)), F.lit(" "), F.lit(""))
+    return F.when(value != "", F.xxhash64(value))
 
-    got = F.transform(typed, best)
-    return F.aggregate(got, F.lit(0.0), lambda x, y: x + y["v"]) / F.greatest(F.aggregate(got, F.lit(0.0), lambda x, y: x + y["w"]), F.lit(1e-9))
 
+def references(players: DataFrame) -> DataFrame:
+    """(ref, player_id, born, height, city, nation, full, called, known) of the reference persons; known are the words of all their
+    names, nicknames too. ref is a hash that only leads rows to each other: the id decides."""
+    nick = F.expr("array_join(transform(from_json(nicknames, 'array<struct<nickname:string>>'), n -> n.nickname), ' ')")
+    t = players.where("id is not null").select(
+        F.xxhash64("id").alias("ref"), F.col("id").alias("player_id"), F.col("date_of_birth").alias("born"), F.col("height_cm").alias("height"), _hashed("birth_city").alias("city"),
+        _hashed("nationality_primary").alias("nation"), folded(F.coalesce("full_legal_name", F.lit(""))).alias("full"), folded(F.coalesce("known_as", F.lit(""))).alias("called"), folded(F.coalesce(nick, F.lit(""))).alias("nicks"),
+    ).withColumn("names", F.concat_ws(" ", "full", "called", "nicks"))
+    return t.select("ref", "player_id", "born", "height", "city", "nation", "full", "called", words_of("names").alias("known")).distinct()
 
-def link(rows: DataFrame, players: DataFrame) -> DataFrame:
-    """(player_id, record_id, rule, similarity): for each row with a short name the reference person it means, if the strongest
-    evidence points to one only.
 
-    Null names, ids and attributes make no key; blank names have no words and are linked to nobody; repeated rows are
+def records(rows: DataFrame) -> DataFrame:
+    """(record_id, short, name, born, height, city, nation, words) of the rows whose short name is not null. The long name is an
+    attribute: it tells a given name that the short one leaves out, but leads to no reference."""
+    t = rows.where("id is not null and name_short is not null").select(
+        F.col("id").alias("record_id"), folded(F.col("name_short")).alias("short"), folded(F.coalesce("name", F.lit(""))).alias("name"),
+        F.col("date_of_birth").alias("born"), F.col("height_cm").alias("height"), _hashed("city_of_birth").alias("city"), _hashed("nationality").alias("nation"),
+    )
+    return t.select("*", words_of("short").alias("words"))
+
+
+_OWN = ["record_id", "short", "name", "born", "height", "city", "nation", "n_words"]
+
+
+def typed_names(rec: DataFrame, dictionary: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(rec, record_id, short, name, born, height, city, nation, typed, unknown, prefix): the records whose words can reach the
+    least similarity. typed are the words some reference holds, heaviest first, with weight and partners (others);
+    unknown is the weight of each other word; prefix the number of words that a similar reference can't all miss."""
+    split = rec.select(*_OWN[:-1], F.size("words").alias("n_words"), F.explode("words").alias("word"))
+    t = split.join(dictionary, "word").groupBy(*_OWN).agg(F.sort_array(F.collect_set(F.struct("w", "word", "others")), asc=False).alias("typed"), F.max("rare").alias("rare"))
+    initials = F.size(F.array_distinct(F.split("short", " "))) - F.col("n_words")
+    t = t.select("*", (F.col("rare") * UNKNOWN).alias("unknown"), initials.alias("k"))
+    t = t.withColumn("need", F.lit(similar) * (F.aggregate("typed", F.lit(0.0), lambda x, y: x + y["w"]) + F.col("unknown") * (F.col("n_words") - F.size("typed")) + F.col("k")) - F.col("k"))
+    # words from the i-th on may be left out if they weigh less than what is needed
+    rest = lambda i: F.aggregate(F.slice("typed", i + 1, F.size("typed")), F.lit(0.0), lambda x, y: x + y["w"])
+    t = t.withColumn("prefix", F.size(F.filter(F.transform("typed", lambda x, i: rest(i)), lambda s: s >= F.col("need"))))
+    return t.where("prefix > 0").select(F.xxhash64("record_id").alias("rec"), *_OWN[:-1], "typed", "unknown", "prefix")
+
+
+def _keys(t: DataFrame, key: str, missing: tuple[int, int]) -> DataFrame:
+    """(key, k): hashes of a word together with evidence, from rows (key, word, initials, born, city, nation). A date that one
+    side doesn't know is replaced by nationality and initial; which side that is parts the two kinds `missing`."""
+    born, none = F.col("born"), F.array().cast("array<bigint>")
+    by_initial = lambda n, *c, when=None: F.transform("initials", lambda i: F.when(reduce(lambda x, y: x & y, [x.isNotNull() for x in c]) & (F.lit(True) if when is None else when), F.xxhash64(F.lit(n), "word", i, *c)))
+    turn = F.when(F.dayofyear(born) == 1, F.date_sub(born, 1))  # the day before in another year
+    dated = F.array(F.when(born.isNotNull(), F.xxhash64(F.lit(1), "word", _loose(born))), F.when(turn.isNotNull(), F.xxhash64(F.lit(1), "word", _loose(turn))), F.when(F.col("city").isNotNull(), F.xxhash64(F.lit(4), "word", "city")))
+    made = F.concat(
+        dated, by_initial(2, F.year(born)), by_initial(3, F.month(born) * 100 + F.dayofmonth(born)),
+        F.when(F.col("nation").isNotNull(), by_initial(missing[0], F.col("nation"))).otherwise(none), F.when(born.isNull(), by_initial(missing[1], F.col("nation"))).otherwise(none),
+    )
+    return t.select(key, F.explode(made).alias("k")).where("k is not null")
+
+
+def candidates(typed: DataFrame, ref: DataFrame) -> DataFrame:
+    """(rec, ref) that share a word of the typed prefix, or one it may stand for, and further evidence."""
+    first = lambda tokens, word: F.array_distinct(F.transform(F.filter(tokens, lambda t: (t != word) & (t != "")), lambda t: F.substring(t, 1, 1)))
+    tokens = F.concat(F.split("short", " "), F.split("name", " "))
+    x = typed.select("rec", "born", "city", "nation", tokens.alias("tokens"), F.explode(F.slice("typed", F.lit(1), F.col("prefix"))).alias("t"))
+    x = x.select("rec", "born", "city", "nation", first(F.col("tokens"), F.col("t.word")).alias("initials"), F.explode("t.others").alias("word"))
+    y = ref.select("ref", "born", "city", "nation", "known", F.explode("known").alias("word")).select("ref", "born", "city", "nation", "word", first(F.col("known"), F.col("word")).alias("initials"))
+    return _keys(x, "rec", (6, 5)).join(_keys(y, "ref", (5, 6)), "k").select("rec", "ref").distinct()
+
+
+def alike(t: Column, u: Column) -> Column:
+    """How far one word stands for another: equal, begun by it (an abbreviation), or spelt alike."""
+    same = 1 - F.levenshtein(t, u) / F.greatest(F.length(t), F.length(u))
+    return F.when(t == u, 1.0).when(F.startswith(u, t), 0.9).when(same >= ALIKE, same).otherwise(0.0)
+
+
+def soft_similarity(typed: Column, others: Column, unknown: Column, known: Column) -> Column:
+    """How much of the typed words' weight the known words account for: each typed word takes its best partner. typed are
+    (w, word) pairs; others are typed words that no reference holds, of the weight `unknown`; initials weigh 1."""
+    best = lambda t: F.array_max(F.transform(known, lambda u: alike(t, u)))
+    total = lambda c, f: F.aggregate(c, F.lit(0.0), lambda x, y: x + f(y))
+    weight = lambda t: F.when(F.length(t) > 1, unknown).otherwise(1.0)
+    got = total(typed, lambda x: x["w"] * best(x["word"])) + total(others, lambda t: weight(t) * best(t))
+    return got / (total(typed, lambda x: x["w"]) + total(others, weight))
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are made once a row: filters on them aren't pushed below, where each would make them again."""
+    made = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_once")
+    return df.select("*", made).select(*df.columns, *[F.col(f"_once.{n}").alias(n) for n in columns])
+
+
+def verified(pairs: DataFrame) -> DataFrame:
+    """(record_id, player_id, level, similarity): pairs of a record (x) and a reference (y) that can be of one person.
+
+    anchor is the known word that the heaviest typed word stands for; the given name is the first word besides it. Birth
+    dates must be equal or a slip (3, 2) or one unknown (1); a slip asks for the initial of the given name or the place besides, an
+    unknown date for the given name and the place or nation, or the initial and the birth place. The level is twice that
+    number, one more for the whole given name. The long name must not be somebody else's.
+    """
+    hit = F.transform("typed", lambda x: F.array_max(F.transform("known", lambda u: F.struct(alike(x["word"], u).alias("s"), u.alias("u")))))
+    p = _once(pairs.where(agreeing("x", "y", initials=False)), anchor=F.try_element_at(F.filter(hit, lambda h: h["s"] >= ALIKE), F.lit(1))["u"]).where("anchor is not null")
+    given = lambda c: F.try_element_at(F.filter(F.split(c, " "), lambda t: (t != "") & ((F.length(t) == 1) | (alike(t, F.col("anchor")) == 0))), F.lit(1))
+    both = lambda a, b: F.array_distinct(F.array_compact(F.array(given(a), given(b))))
+    p = _once(p, givens=both("short", "name"), own=both("full", "called"))
+    first = lambda c: F.transform(c, lambda t: F.substring(t, 1, 1))
+    i = F.when((F.size("givens") > 0) & (F.size("own") > 0), F.arrays_overlap(first("givens"), first("own")))
+    g = F.arrays_overlap(F.filter("givens", lambda t: F.length(t) > 2), "own")
+    same = lambda c: F.coalesce(F.col(f"x.{c}") == F.col(f"y.{c}"), F.lit(False))
+    level = F.when(same("born"), 3).when(F.col("x.born").isNotNull() & F.col("y.born").isNotNull(), 2).otherwise(1)
+    long_name = F.filter(F.split("name", " "), lambda t: F.length(t) > 2)
+    heard = F.size(F.filter(long_name, lambda t: F.exists("known", lambda u: alike(t, u) > 0))) >= LONG_NAME * F.size(long_name)
+    others = F.array_except(F.split("short", " "), F.transform("typed", lambda x: x["word"]))
+    sim = soft_similarity(F.col("typed"), others, F.col("unknown"), F.col("known"))
+    p = _once(p, i=i, g=F.coalesce(g, F.lit(False)), level=level, heard=heard, similarity=F.round(sim, 6))
+    known_i = F.coalesce(F.col("i"), F.lit(False))
+    enough = F.when(F.col("level") == 3, True).when(F.col("level") == 2, known_i | same("city")).otherwise((F.col("g") & (same("nation") | same("city"))) | (same("city") & (known_i | same("height"))))
+    p = p.where(F.coalesce(F.col("i"), F.lit(True)) & F.col("heard") & enough & (F.col("similarity") >= F.when(F.col("level") == 3, SIMILAR).otherwise(DOUBTFUL)))
+    return p.select("record_id", "player_id", (F.col("level") * 2 + F.col("g").cast("int")).alias("level"), "similarity")
+
+
+def scored(rows: DataFrame, players: DataFrame, slips: int = SLIPS) -> DataFrame:
+    """(record_id, player_id, level, similarity, tied): for each row with a short name its best reference, and whether another
+    reference is as good.
+
+    Null names, ids and attributes make no key; names without a word of two letters are linked to nobody; repeated rows are
     linked once. A word that a third of all names hold makes no key on its own, only together with further evidence, and
-    no key lets two references meet the same row in more than one candidate.
+    any number of references may hold a key: verification tells them apart.
     """
     ref_table, rec_table = Written(references(players), "references"), Written(records(rows), "records")
     ref, rec = ref_table.df, rec_table.df
-    nothing = F.lit(None).cast("string")
-    nicks = ref.select("ref", "born", "height", "city", "nation", F.explode("nicks").alias("s"), nothing.alias("i"), nothing.alias("g"))
-    known, typed = _sayings(ref, "ref").unionByName(nicks), _sayings(rec, "rec")
-    dictionary = materialize(spellings(typed.select(F.col("s").alias("word")).distinct(), known.select(F.col("s").alias("word")).distinct()), "spellings")
-    single = reading_keys(known, "ref", RULES, 1).unionByName(_short_keys(ref, "ref")).groupBy("key").agg(F.min("ref").alias("ref"), F.max("ref").alias("last")).where("ref = last").select("key", "ref")
-    meant = typed.withColumnRenamed("s", "word").join(dictionary.select("word", F.col("other").alias("s")), "word").drop("word")
-    rec_keys = reading_keys(meant, "rec", RULES, 1).unionByName(_short_keys(rec, "rec"))
-    candidates = materialize(rec_keys.join(single, "key").groupBy("rec", "ref").agg(F.min(rule_of(F.col("key"))).alias("rule")), "candidates")
-    # a word's weight is its rarity among the reference names
-    ref = ref.withColumn("words", F.array_union("words", "nicks"))
-    counts = ref.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    total = ref.agg(F.count("*").alias("total"))
-    weighted = ref.select("ref", F.explode("words").alias("word")).join(counts, "word").crossJoin(F.broadcast(total)).select("ref", F.struct("word", F.log(1 + F.col("total") / F.col("n")).alias("w")).alias("k"), F.log(1 + F.col("total")).alias("rare"))
-    known_words = weighted.groupBy("ref").agg(F.collect_set("k").alias("known"), F.max("rare").alias("rare"))
-    about = lambda t, key: t.select(key, F.struct("born", F.lit(None).cast("string").alias("pos"), "height", "initials").alias("s"), "words", "id")
-    x = about(rec, "rec").withColumnsRenamed({"s": "x", "id": "record_id", "words": "typed"})
-    y = about(ref, "ref").join(known_words, "ref").withColumnsRenamed({"s": "y", "id": "player_id"}).drop("words")
-    pairs = candidates.join(y, "ref").join(x, "rec").where(agreeing("x", "y"))
-    scored = pairs.select("rec", "ref", "record_id", "player_id", "rule", F.round(soft_similarity(F.col("typed"), F.col("known"), F.col("rare")), 6).alias("similarity")).where(F.col("similarity") >= SIMILAR)
-    order = lambda tie: F.max(F.struct((-F.col("rule")).alias("r"), "similarity", tie.alias("t"), "player_id", "record_id"))
-    best = scored.groupBy("rec").agg(order(F.col("ref")).alias("a"), order(-F.col("ref")).alias("b")).where("a.player_id = b.player_id")
-    return best.select("a.player_id", "a.record_id", (-F.col("a.r")).alias("rule"), "a.similarity")
+    distinct = lambda t, c: t.select(F.explode(c).alias("word")).distinct()
+    counts = ref.select("player_id", F.explode("known").alias("other")).groupBy("other").agg(F.count_distinct("player_id").alias("n"))
+    total = ref.agg(F.log(1 + F.count("*")).alias("rare"), F.count("*").alias("total"))
+    # a word's weight is its rarity among the reference names, a misspelt one's that of its rarest partner
+    weight = F.log(1 + F.col("total") / F.col("n"))
+    spelt = spellings(distinct(rec, "words"), distinct(ref, "known"), slips).join(counts, "other").crossJoin(F.broadcast(total))
+    dictionary = materialize(spelt.groupBy("word").agg(F.coalesce(F.max(F.when(F.col("word") == F.col("other"), weight)), F.max(weight)).alias("w"), F.collect_list("other").alias("others"), F.max("rare").alias("rare")), "spellings")
+    typed = Written(typed_names(rec, dictionary), "typed")
+    met = materialize(candidates(typed.df, ref), "candidates")
+    about = lambda t, s: t.withColumn(s, F.struct("born", F.lit(None).cast("string").alias("pos"), "height", "city", "nation")).drop("born", "height", "city", "nation")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # comparing costs more than its bytes tell: a fixed number isn't coalesced
+    pairs = met.join(about(ref, "y"), "ref").repartition(n, "rec").join(about(typed.df, "x").drop("prefix").repartition(n, "rec"), "rec")
+    order = lambda: F.struct("level", "similarity").alias("o")
+    good = verified(pairs).groupBy("record_id", "player_id").agg(F.max(order()).alias("o"))
+    best = good.groupBy("record_id").agg(F.max(F.struct("o", "player_id")).alias("a"), F.max("o").alias("top"), F.count("*").alias("n"))
+    tied = good.join(best.where("n > 1").select("record_id", "top"), "record_id").where(F.col("o") == F.col("top")).groupBy("record_id").agg((F.count("*") > 1).alias("tied"))
+    out = best.join(tied, "record_id", "left")
+    return out.select("record_id", "a.player_id", "a.o.level", "a.o.similarity", F.coalesce("tied", F.lit(False)).alias("tied"))
+
+
+def link(rows: DataFrame, players: DataFrame) -> DataFrame:
+    """(player_id, record_id, level, similarity): the links that a single best reference gives."""
+    return scored(rows, players).where("not tied").select("player_id", "record_id", "level", "similarity")
+
+
+def unlinked(rows: DataFrame, players: DataFrame) -> DataFrame:
+    """(record_id, reason): rows with a short name that are linked to nobody, because no reference is similar or several are
+    equally good."""
+    best = scored(rows, players).select("record_id", "tied")
+    named = rows.where("id is not null and name_short is not null").select(F.col("id").alias("record_id")).distinct()
+    return named.join(best, "record_id", "left").where("tied is null or tied").select("record_id", F.when(F.col("tied"), "several").otherwise("none").alias("reason"))
 
 
 def found(rows: DataFrame, players: DataFrame) -> DataFrame:
     """(player_id, record_id)"""
-    return link(rows, players).select("player_id", "record_id").distinct()
+    return link(rows, players).select("player_id", "record_id")

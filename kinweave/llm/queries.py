@@ -32,10 +32,15 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_links(spark: SparkSession, d: str) -> DataFrame:
-    """The links with the evidence they rest on and the similarity of the names."""
+    """The links with the level of their evidence and the similarity of the names."""
     return names.link(table(spark, d, "pipeline_players"), table(spark, d, "players"))
 
 
+def p2_unlinked(spark: SparkSession, d: str) -> DataFrame:
+    """The named records that are linked to nobody, and why."""
+    return names.unlinked(table(spark, d, "pipeline_players"), table(spark, d, "players"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return components.found(table(spark, d, "dedup_pairs_ambiguous"))
 
@@ -85,7 +90,7 @@ def p10_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (p1_found, p1_records, p2_found, p2_links, p4_found, p6_found, p6_unmatched, p7_found, p7_confidence, p8_found, p8_alignments, p9_selection, p9_shares, p10_found, p10_texts)
+    own = (p1_found, p1_records, p2_found, p2_links, p2_unlinked, p4_found, p6_found, p6_unmatched, p7_found, p7_confidence, p8_found, p8_alignments, p9_selection, p9_shares, p10_found, p10_texts)
     return {f.__name__: f for f in own}
 
 
