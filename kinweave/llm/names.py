@@ -53,6 +53,10 @@ def lost_grams(a: str, b: str) -> Column:
     return F.when(shared > 0, F.greatest(F.size(every(a)), F.size(every(b))) - shared)
 
 
+def letters(c: str | Column) -> Column:
+    return F.array_join(F.sort_array(F.split(c, "")), "")
+
+
 def spellings(typed: DataFrame, reference: DataFrame, slips: int = SLIPS) -> DataFrame:
     """(word, other, sim): words of typed(word) and the words of reference(word) they may stand for, equal or up to `slips`
     edits or exchanges of neighbours away. Distinct words of two letters or more in.
@@ -70,7 +74,6 @@ def spellings(typed: DataFrame, reference: DataFrame, slips: int = SLIPS) -> Dat
     b = prefixes(reference, common, lost + 1).select(F.col("word").alias("other"), place(0, 0))
     longer = F.greatest(F.length("word"), F.length("other"))
     # an exchange is two edits that leave the letters as they are
-    letters = lambda c: F.array_join(F.sort_array(F.split(c, "")), "")
     n = int(typed.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, many pairs: a fixed number isn't coalesced
     met = a.repartition(n, "place").join(b.repartition(n, "place"), "place").select("word", "other", F.levenshtein("word", "other", 2 * slips).alias("d")).where("d >= 0")
     near = met.groupBy("word", "other").agg(F.min("d").alias("d"))
@@ -161,7 +164,8 @@ def candidates(typed: DataFrame, ref: DataFrame) -> DataFrame:
 
 def alike(t: Column, u: Column) -> Column:
     """How far one word stands for another: equal, begun by it (an abbreviation), or spelt alike."""
-    same = 1 - F.levenshtein(t, u) / F.greatest(F.length(t), F.length(u))
+    d, longer = F.levenshtein(t, u), F.greatest(F.length(t), F.length(u))
+    same = 1 - F.when((d == 2) & (letters(t) == letters(u)), 1).otherwise(d) / longer  # an exchange is one slip
     return F.when(t == u, 1.0).when(F.startswith(u, t), 0.9).when(same >= ALIKE, same).otherwise(0.0)
 
 
