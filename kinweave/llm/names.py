@@ -85,18 +85,18 @@ def folded(c: Column) -> Column:
     """A typed name in lower-case letters without accents, one blank between words, the given name first where a comma tells;
     "Thom." becomes an initial."""
     c = F.when(F.contains(c, F.lit(",")), F.concat_ws(" ", F.substring_index(c, ",", -1), F.substring_index(c, ",", 1))).otherwise(c)
-    return F.trim(F.regexp_replace(_unaccented(F.regexp_replace(c, r"(\p{L})\p{L}{1,3}\.", "$1 ")), r"\s+", " "))
+    c = _unaccented(F.when(F.contains(c, F.lit(".")), F.regexp_replace(c, r"(\p{L})\p{L}{1,3}\.", "$1 ")).otherwise(c))
+    return F.trim(F.when(F.contains(c, F.lit("  ")), F.regexp_replace(c, " +", " ")).otherwise(c))
 
 
-def words_of(name: str) -> Column:
-    """The different words of a folded name, without initials."""
-    long = F.trim(F.regexp_replace(F.regexp_replace(F.col(name), r"(?<!\S)\S(?!\S)", ""), r"\s+", " "))
-    return F.array_remove(F.array_distinct(F.split(long, " ")), "")
+def _tokens(name: str) -> Column:
+    """The different words and initials of a folded name; a blank name has one empty word."""
+    return F.array_distinct(F.split(name, " "))
 
 
 def _hashed(c: str) -> Column:
     value = F.replace(plain(F.col(c)), F.lit(" "), F.lit(""))
-    return F.when(value != "", F.xxhash64(value))
+    return F.when(value != "", F.hash(value))
 
 
 def references(players: DataFrame) -> DataFrame:
@@ -107,58 +107,64 @@ def references(players: DataFrame) -> DataFrame:
         F.xxhash64("id").alias("ref"), F.col("id").alias("player_id"), F.col("date_of_birth").alias("born"), F.col("height_cm").alias("height"), _hashed("birth_city").alias("city"),
         _hashed("nationality_primary").alias("nation"), folded(F.coalesce("full_legal_name", F.lit(""))).alias("full"), folded(F.coalesce("known_as", F.lit(""))).alias("called"), folded(F.coalesce(nick, F.lit(""))).alias("nicks"),
     ).withColumn("names", F.concat_ws(" ", "full", "called", "nicks"))
-    return t.select("ref", "player_id", "born", "height", "city", "nation", "full", "called", words_of("names").alias("known")).distinct()
+    return t.select("ref", "player_id", "born", "height", "city", "nation", "full", "called", F.filter(_tokens("names"), lambda t: F.length(t) > 1).alias("known")).distinct()
 
 
 def records(rows: DataFrame) -> DataFrame:
-    """(record_id, short, name, born, height, city, nation, words) of the rows whose short name is not null. The long name is an
-    attribute: it tells a given name that the short one leaves out, but leads to no reference."""
-    t = rows.where("id is not null and name_short is not null").select(
-        F.col("id").alias("record_id"), folded(F.col("name_short")).alias("short"), folded(F.coalesce("name", F.lit(""))).alias("name"),
+    """(rec, record_id, short, name, born, height, city, nation) of the rows whose short name is not null; rec numbers them once
+    they are written. The long name is an attribute: it tells a given name that the short one leaves out, but leads to no
+    reference."""
+    return rows.where("id is not null and name_short is not null").select(
+        F.monotonically_increasing_id().alias("rec"), F.col("id").alias("record_id"), folded(F.col("name_short")).alias("short"), folded(F.coalesce("name", F.lit(""))).alias("name"),
         F.col("date_of_birth").alias("born"), F.col("height_cm").alias("height"), _hashed("city_of_birth").alias("city"), _hashed("nationality").alias("nation"),
     )
-    return t.select("*", words_of("short").alias("words"))
-
-
-_OWN = ["record_id", "short", "name", "born", "height", "city", "nation", "n_words"]
 
 
 def typed_names(rec: DataFrame, dictionary: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """(rec, record_id, short, name, born, height, city, nation, typed, unknown, prefix): the records whose words can reach the
-    least similarity. typed are the words some reference holds, heaviest first, with weight and partners (others);
-    unknown is the weight of each other word; prefix the number of words that a similar reference can't all miss."""
-    split = rec.select(*_OWN[:-1], F.size("words").alias("n_words"), F.explode("words").alias("word"))
-    t = split.join(dictionary, "word").groupBy(*_OWN).agg(F.sort_array(F.collect_set(F.struct("w", "word", "others")), asc=False).alias("typed"), F.max("rare").alias("rare"))
-    initials = F.size(F.array_distinct(F.split("short", " "))) - F.col("n_words")
-    t = t.select("*", (F.col("rare") * UNKNOWN).alias("unknown"), initials.alias("k"))
-    t = t.withColumn("need", F.lit(similar) * (F.aggregate("typed", F.lit(0.0), lambda x, y: x + y["w"]) + F.col("unknown") * (F.col("n_words") - F.size("typed")) + F.col("k")) - F.col("k"))
+    """records() with (typed, unknown, prefix), those whose words can reach the least similarity. typed are the words some
+    reference holds, heaviest first, with weight and partners (others); unknown is the weight of each other word; prefix the
+    number of words that a similar reference can't all miss."""
+    split = rec.select("rec", F.explode(_tokens("short")).alias("word")).where(F.length("word") > 1)
+    held = split.join(dictionary, "word").groupBy("rec").agg(F.sort_array(F.collect_list(F.struct("w", "word", "others")), asc=False).alias("typed"), F.max("rare").alias("rare"))
+    t = held.join(rec, "rec").withColumn("unknown", F.col("rare") * UNKNOWN).drop("rare")
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda x, y: x + y["w"])
+    initials = F.size(F.filter(_tokens("short"), lambda t: F.length(t) == 1))
+    missed = F.size(_tokens("short")) - initials - F.size("typed")
+    t = t.withColumn("need", F.lit(similar) * (total("typed") + F.col("unknown") * missed + initials) - initials)
     # words from the i-th on may be left out if they weigh less than what is needed
-    rest = lambda i: F.aggregate(F.slice("typed", i + 1, F.size("typed")), F.lit(0.0), lambda x, y: x + y["w"])
-    t = t.withColumn("prefix", F.size(F.filter(F.transform("typed", lambda x, i: rest(i)), lambda s: s >= F.col("need"))))
-    return t.where("prefix > 0").select(F.xxhash64("record_id").alias("rec"), *_OWN[:-1], "typed", "unknown", "prefix")
+    reach = F.transform("typed", lambda x, i: total(F.slice("typed", i + 1, F.size("typed"))))
+    return t.withColumn("prefix", F.size(F.filter(reach, lambda s: s >= F.col("need")))).where("prefix > 0").drop("need")
 
 
 def _keys(t: DataFrame, key: str, missing: tuple[int, int]) -> DataFrame:
-    """(key, k): hashes of a word together with evidence, from rows (key, word, initials, born, city, nation). A date that one
-    side doesn't know is replaced by nationality and initial; which side that is parts the two kinds `missing`."""
+    """(key, k): hashes of a word together with evidence, from rows (key, word, sure, initials, born, city, nation). A word that
+    isn't sure to be meant needs the birth date. A date that one side doesn't know is replaced by nationality and initial;
+    which side that is parts the two kinds `missing`."""
     born, none = F.col("born"), F.array().cast("array<bigint>")
-    by_initial = lambda n, *c, when=None: F.transform("initials", lambda i: F.when(reduce(lambda x, y: x & y, [x.isNotNull() for x in c]) & (F.lit(True) if when is None else when), F.xxhash64(F.lit(n), "word", i, *c)))
+    by_initial = lambda n, c, when: F.when(when & c.isNotNull(), F.transform("initials", lambda i: F.xxhash64(F.lit(n), "word", i, c))).otherwise(none)
     turn = F.when(F.dayofyear(born) == 1, F.date_sub(born, 1))  # the day before in another year
-    dated = F.array(F.when(born.isNotNull(), F.xxhash64(F.lit(1), "word", _loose(born))), F.when(turn.isNotNull(), F.xxhash64(F.lit(1), "word", _loose(turn))), F.when(F.col("city").isNotNull(), F.xxhash64(F.lit(4), "word", "city")))
+    dated = F.array(*[F.when(c.isNotNull(), F.xxhash64(F.lit(1), "word", _loose(c))) for c in (born, turn)], F.when(F.col("city").isNotNull() & F.col("sure"), F.xxhash64(F.lit(4), "word", "city")))
     made = F.concat(
-        dated, by_initial(2, F.year(born)), by_initial(3, F.month(born) * 100 + F.dayofmonth(born)),
-        F.when(F.col("nation").isNotNull(), by_initial(missing[0], F.col("nation"))).otherwise(none), F.when(born.isNull(), by_initial(missing[1], F.col("nation"))).otherwise(none),
+        dated, by_initial(2, F.year(born), F.col("sure")), by_initial(3, F.month(born) * 100 + F.dayofmonth(born), F.col("sure")),
+        by_initial(missing[0], F.col("nation"), F.col("sure")), by_initial(missing[1], F.col("nation"), F.col("sure") & born.isNull()),
     )
     return t.select(key, F.explode(made).alias("k")).where("k is not null")
 
 
+def _initials(word: Column, *names: str) -> Column:
+    """The first letters of what stands first in each name besides the word."""
+    first = lambda c: F.try_element_at(F.filter(F.split(c, " "), lambda t: (t != word) & (t != "")), F.lit(1))
+    return F.array_distinct(F.array_compact(F.array(*[F.substring(first(c), 1, 1) for c in names])))
+
+
 def candidates(typed: DataFrame, ref: DataFrame) -> DataFrame:
-    """(rec, ref) that share a word of the typed prefix, or one it may stand for, and further evidence."""
-    first = lambda tokens, word: F.array_distinct(F.transform(F.filter(tokens, lambda t: (t != word) & (t != "")), lambda t: F.substring(t, 1, 1)))
-    tokens = F.concat(F.split("short", " "), F.split("name", " "))
-    x = typed.select("rec", "born", "city", "nation", tokens.alias("tokens"), F.explode(F.slice("typed", F.lit(1), F.col("prefix"))).alias("t"))
-    x = x.select("rec", "born", "city", "nation", first(F.col("tokens"), F.col("t.word")).alias("initials"), F.explode("t.others").alias("word"))
-    y = ref.select("ref", "born", "city", "nation", "known", F.explode("known").alias("word")).select("ref", "born", "city", "nation", "word", first(F.col("known"), F.col("word")).alias("initials"))
+    """(rec, ref) that share a word of the typed prefix, or one it may stand for, and further evidence. A typed word that some
+    reference holds as it stands is taken for a slip of another one only with a birth date."""
+    x = typed.select("rec", "short", "name", "born", "city", "nation", F.explode(F.slice("typed", F.lit(1), F.col("prefix"))).alias("t"))
+    x = x.select("rec", "born", "city", "nation", _initials(F.col("t.word"), "short", "name").alias("initials"), "t", F.explode("t.others").alias("word"))
+    x = x.withColumn("sure", (F.col("word") == F.col("t.word")) | ~F.array_contains("t.others", F.col("t.word")))
+    y = ref.select("ref", "full", "called", "born", "city", "nation", F.explode("known").alias("word"), F.lit(True).alias("sure"))
+    y = y.withColumn("initials", _initials(F.col("word"), "full", "called"))
     return _keys(x, "rec", (6, 5)).join(_keys(y, "ref", (5, 6)), "k").select("rec", "ref").distinct()
 
 
@@ -224,14 +230,16 @@ def scored(rows: DataFrame, players: DataFrame, slips: int = SLIPS) -> DataFrame
     """
     ref_table, rec_table = Written(references(players), "references"), Written(records(rows), "records")
     ref, rec = ref_table.df, rec_table.df
-    distinct = lambda t, c: t.select(F.explode(c).alias("word")).distinct()
+    distinct = lambda t, c: t.select(F.explode(c).alias("word")).where(F.length("word") > 1).distinct()
     counts = ref.select("player_id", F.explode("known").alias("other")).groupBy("other").agg(F.count_distinct("player_id").alias("n"))
     total = ref.agg(F.log(1 + F.count("*")).alias("rare"), F.count("*").alias("total"))
     # a word's weight is its rarity among the reference names, a misspelt one's that of its rarest partner
     weight = F.log(1 + F.col("total") / F.col("n"))
-    spelt = spellings(distinct(rec, "words"), distinct(ref, "known"), slips).join(counts, "other").crossJoin(F.broadcast(total))
-    dictionary = materialize(spelt.groupBy("word").agg(F.coalesce(F.max(F.when(F.col("word") == F.col("other"), weight)), F.max(weight)).alias("w"), F.collect_list("other").alias("others"), F.max("rare").alias("rare")), "spellings")
-    typed = Written(typed_names(rec, dictionary), "typed")
+    spelt = spellings(distinct(rec, _tokens("short")), distinct(ref, "known"), slips).join(counts, "other").crossJoin(F.broadcast(total))
+    dictionary = Written(spelt.groupBy("word").agg(F.coalesce(F.max(F.when(F.col("word") == F.col("other"), weight)), F.max(weight)).alias("w"), F.collect_list("other").alias("others"), F.max("rare").alias("rare")), "spellings")
+    typed = Written(typed_names(rec, dictionary.df), "typed")
+    dictionary.drop()
+    rec_table.drop()
     met = materialize(candidates(typed.df, ref), "candidates")
     about = lambda t, s: t.withColumn(s, F.struct("born", F.lit(None).cast("string").alias("pos"), "height", "city", "nation")).drop("born", "height", "city", "nation")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # comparing costs more than its bytes tell: a fixed number isn't coalesced
