@@ -127,44 +127,45 @@ def typed_names(rec: DataFrame, dictionary: DataFrame, similar: float = SIMILAR)
     split = rec.select("rec", F.explode(_tokens("short")).alias("word")).where(F.length("word") > 1)
     held = split.join(dictionary, "word").groupBy("rec").agg(F.sort_array(F.collect_list(F.struct("w", "word", "others")), asc=False).alias("typed"), F.max("rare").alias("rare"))
     t = held.join(rec, "rec").withColumn("unknown", F.col("rare") * UNKNOWN).drop("rare")
+    single = F.size("typed") == 1  # most short names: spared the loops over words
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda x, y: x + y["w"])
     initials = F.size(F.filter(_tokens("short"), lambda t: F.length(t) == 1))
     missed = F.size(_tokens("short")) - initials - F.size("typed")
-    t = t.withColumn("need", F.lit(similar) * (total("typed") + F.col("unknown") * missed + initials) - initials)
+    t = t.withColumn("need", F.lit(similar) * (F.when(single, F.col("typed")[0]["w"]).otherwise(total("typed")) + F.col("unknown") * missed + initials) - initials)
     # words from the i-th on may be left out if they weigh less than what is needed
     reach = F.transform("typed", lambda x, i: total(F.slice("typed", i + 1, F.size("typed"))))
-    return t.withColumn("prefix", F.size(F.filter(reach, lambda s: s >= F.col("need")))).where("prefix > 0").drop("need")
+    prefix = F.when(single, (F.col("typed")[0]["w"] >= F.col("need")).cast("int")).otherwise(F.size(F.filter(reach, lambda s: s >= F.col("need"))))
+    return _once(t, prefix=prefix).where("prefix > 0").drop("need")
 
 
 def _keys(t: DataFrame, key: str, missing: tuple[int, int]) -> DataFrame:
-    """(key, k): hashes of a word together with evidence, from rows (key, word, sure, initials, born, city, nation). A word that
+    """(key, k): hashes of a word together with evidence, from rows (key, word, sure, i, j, born, city, nation). A word that
     isn't sure to be meant needs the birth date. A date that one side doesn't know is replaced by nationality and initial;
     which side that is parts the two kinds `missing`."""
-    born, none = F.col("born"), F.array().cast("array<bigint>")
-    by_initial = lambda n, c, when: F.when(when & c.isNotNull(), F.transform("initials", lambda i: F.xxhash64(F.lit(n), "word", i, c))).otherwise(none)
+    born = F.col("born")
     turn = F.when(F.dayofyear(born) == 1, F.date_sub(born, 1))  # the day before in another year
-    dated = F.array(*[F.when(c.isNotNull(), F.xxhash64(F.lit(1), "word", _loose(c))) for c in (born, turn)], F.when(F.col("city").isNotNull() & F.col("sure"), F.xxhash64(F.lit(4), "word", "city")))
-    made = F.concat(
-        dated, by_initial(2, F.year(born), F.col("sure")), by_initial(3, F.month(born) * 100 + F.dayofmonth(born), F.col("sure")),
-        by_initial(missing[0], F.col("nation"), F.col("sure")), by_initial(missing[1], F.col("nation"), F.col("sure") & born.isNull()),
-    )
-    return t.select(key, F.explode(made).alias("k")).where("k is not null")
+    made = [F.when(c.isNotNull(), F.xxhash64(F.lit(1), "word", _loose(c))) for c in (born, turn)] + [F.when(F.col("city").isNotNull() & F.col("sure"), F.xxhash64(F.lit(4), "word", "city"))]
+    for i in ("i", "j"):
+        kinds = [(2, F.year(born), born.isNotNull()), (3, F.month(born) * 100 + F.dayofmonth(born), born.isNotNull()), (missing[0], F.col("nation"), F.lit(True)), (missing[1], F.col("nation"), born.isNull())]
+        made += [F.when(F.col("sure") & F.col(i).isNotNull() & c.isNotNull() & when, F.xxhash64(F.lit(n), "word", i, c)) for n, c, when in kinds]
+    return t.select(key, F.explode(F.array(*made)).alias("k")).where("k is not null")
 
 
-def _initials(word: Column, *names: str) -> Column:
-    """The first letters of what stands first in each name besides the word."""
-    first = lambda c: F.try_element_at(F.filter(F.split(c, " "), lambda t: (t != word) & (t != "")), F.lit(1))
-    return F.array_distinct(F.array_compact(F.array(*[F.substring(first(c), 1, 1) for c in names])))
+def _initials(word: Column, *names: str) -> list[Column]:
+    """i, j: the first letters of what stands first in two names besides the word; j null where it's the same."""
+    tokens = lambda c, n: F.try_element_at(F.split(c, " "), F.lit(n))
+    i, j = [F.nullif(F.substring(F.when(tokens(c, 1) != word, tokens(c, 1)).otherwise(tokens(c, 2)), 1, 1), F.lit("")) for c in names]
+    return [F.coalesce(i, j).alias("i"), F.when(i != j, j).alias("j")]
 
 
 def candidates(typed: DataFrame, ref: DataFrame) -> DataFrame:
     """(rec, ref) that share a word of the typed prefix, or one it may stand for, and further evidence. A typed word that some
     reference holds as it stands is taken for a slip of another one only with a birth date."""
     x = typed.select("rec", "short", "name", "born", "city", "nation", F.explode(F.slice("typed", F.lit(1), F.col("prefix"))).alias("t"))
-    x = x.select("rec", "born", "city", "nation", _initials(F.col("t.word"), "short", "name").alias("initials"), "t", F.explode("t.others").alias("word"))
+    x = x.select("rec", "born", "city", "nation", *_initials(F.col("t.word"), "short", "name"), "t", F.explode("t.others").alias("word"))
     x = x.withColumn("sure", (F.col("word") == F.col("t.word")) | ~F.array_contains("t.others", F.col("t.word")))
     y = ref.select("ref", "full", "called", "born", "city", "nation", F.explode("known").alias("word"), F.lit(True).alias("sure"))
-    y = y.withColumn("initials", _initials(F.col("word"), "full", "called"))
+    y = y.select("*", *_initials(F.col("word"), "full", "called"))
     return _keys(x, "rec", (6, 5)).join(_keys(y, "ref", (5, 6)), "k").select("rec", "ref").distinct()
 
 
@@ -244,12 +245,11 @@ def scored(rows: DataFrame, players: DataFrame, slips: int = SLIPS) -> DataFrame
     about = lambda t, s: t.withColumn(s, F.struct("born", F.lit(None).cast("string").alias("pos"), "height", "city", "nation")).drop("born", "height", "city", "nation")
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # comparing costs more than its bytes tell: a fixed number isn't coalesced
     pairs = met.join(about(ref, "y"), "ref").repartition(n, "rec").join(about(typed.df, "x").drop("prefix").repartition(n, "rec"), "rec")
-    order = lambda: F.struct("level", "similarity").alias("o")
-    good = verified(pairs).groupBy("record_id", "player_id").agg(F.max(order()).alias("o"))
-    best = good.groupBy("record_id").agg(F.max(F.struct("o", "player_id")).alias("a"), F.max("o").alias("top"), F.count("*").alias("n"))
-    tied = good.join(best.where("n > 1").select("record_id", "top"), "record_id").where(F.col("o") == F.col("top")).groupBy("record_id").agg((F.count("*") > 1).alias("tied"))
-    out = best.join(tied, "record_id", "left")
-    return out.select("record_id", "a.player_id", "a.o.level", "a.o.similarity", F.coalesce("tied", F.lit(False)).alias("tied"))
+    # two orders of equally good references: where they end differently, several are as good
+    order = lambda tie: F.max(F.struct("level", "similarity", tie.alias("tie"), "player_id"))
+    tie = F.shiftright(F.xxhash64("player_id"), 1)
+    best = verified(pairs).groupBy("record_id").agg(order(tie).alias("a"), order(-tie).alias("b"))
+    return best.select("record_id", "a.player_id", "a.level", "a.similarity", (F.col("a.player_id") != F.col("b.player_id")).alias("tied"))
 
 
 def link(rows: DataFrame, players: DataFrame) -> DataFrame:
