@@ -50,7 +50,6 @@ def token_set(a: str, b: str) -> int:
 
 def partial(a: str, b: str) -> int:
     """The best ratio of the shorter text with any window of the longer, windows cut off at the ends included."""
-    a, b = processed(a), processed(b)
     short, long = sorted((a, b), key=len)
     if not short:
         return 100 if not long else 0
@@ -71,31 +70,44 @@ def name_similarity(a: str, b: str) -> int:
     return 100 if a == b else max(token_sort(a, b), token_set(a, b), partial(a, b))
 
 
+# Points of a pair's score and the similarities they depend on.
+LEAST_NAME, SAME_BORN, OTHER_BORN, CLUB_FROM, SAME_CLUB, CLUB_BELOW, OTHER_CLUB, SAME_NATION, OTHER_NATION, OTHER_NATION_GENERIC, GENERIC_CAP = 60, 15, -20, 80, 8, 40, -5, 5, -10, -35, 75
+
+
+def generic(name: str) -> bool:
+    """A name of one word or of at most six letters: many people bear it."""
+    return len(name.split()) <= 1 or len(name) <= 6
+
+
 def pair_score(a: tuple, b: tuple) -> tuple[int, str]:
-    """(score, reason) of two records (name, born, club, nationality), names already normalized. Each step clamps to 0..100."""
-    name = name_similarity(a[0] or "", b[0] or "")
-    if name < 60:
+    """(score, reason) of two records (name, born, club, nationality), texts already in the matcher's form. Each step clamps to
+    0..100; the reason names the steps that counted, in order."""
+    a, b = (tuple(x or "" for x in r) for r in (a, b))
+    name = name_similarity(a[0], b[0])
+    if name < LEAST_NAME:
         return 0, "name_too_different"
-    score, reasons = name, [f"name={name}"]
-    generic = any(len((x[0] or "").split()) <= 1 or len(x[0] or "") <= 6 for x in (a, b))
-    dob = nat = False
-    if a[1] and b[1]:
-        dob = a[1] == b[1]
-        score = min(100, score + 15) if dob else max(0, score - 20)
-        reasons.append("dob_exact" if dob else "dob_mismatch")
+    score, reasons, common = name, [f"name={name}"], generic(a[0]) or generic(b[0])
+
+    def step(points: int, reason: str | None = None) -> None:
+        nonlocal score
+        score = max(0, min(100, score + points))
+        if reason:
+            reasons.append(reason)
+
+    if common:
+        reasons.append("generic_name")
+    born = [x[1][:10] for x in (a, b)]
+    if all(born):
+        step(*(SAME_BORN, "dob_exact") if born[0] == born[1] else (OTHER_BORN, "dob_mismatch"))
     if a[2] and b[2]:
         club = token_sort(a[2], b[2])
-        if club >= 80:
-            score = min(100, score + 8)
-            reasons.append("club_match")
-        elif club < 40:
-            score = max(0, score - 5)
+        if club >= CLUB_FROM:
+            step(SAME_CLUB, f"club={club}")
+        elif club < CLUB_BELOW:
+            step(OTHER_CLUB)
     if a[3] and b[3]:
-        nat = a[3].strip().lower() == b[3].strip().lower()
-        score = min(100, score + 5) if nat else max(0, score - (35 if generic else 10))
-        reasons.append("nat_match" if nat else "nat_mismatch")
-    if generic and not (dob or nat):
-        if score > 75:
-            score = 75
+        step(*(SAME_NATION, "nat_match") if a[3] == b[3] else (OTHER_NATION_GENERIC, "nat_mismatch_generic") if common else (OTHER_NATION, "nat_mismatch"))
+    if common and not {"dob_exact", "nat_match"} & set(reasons):
+        score = min(score, GENERIC_CAP)
         reasons.append("capped_generic")
     return score, "|".join(reasons)

@@ -21,36 +21,52 @@ def iso_day(c: Column) -> Column:
 
 
 def contract_day(c: Column) -> Column:
-    """ISO dates as they are, a year as its 30 June, a month and year as its 28th; else null."""
+    """ISO dates as they are, a year as its 30 June, text that names a month and a year as that month's 28th; else null. Of
+    several months the earliest in the year counts, of several years the first."""
     t = F.trim(c)
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.regexp_extract(t, r"^([A-Za-z]+)\s+\d{4}$", 1)))
-    named = F.concat(F.regexp_extract(t, r"(\d{4})$", 1), F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.lit("-28"))
-    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), t).when(t.rlike(r"^\d{4}$"), F.concat(t, F.lit("-06-30"))).when(month > 0, named)
+    low, year = F.lower(t), F.nullif(F.regexp_extract(t, r"(\d{4})", 1), F.lit(""))
+    named = F.coalesce(*[F.when(F.contains(low, F.lit(m)), F.concat(year, F.lit(f"-{n:02}-28"))) for n, m in enumerate(MONTHS, 1)])
+    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), t).when(t.rlike(r"^\d{4}$"), F.concat(t, F.lit("-06-30"))).otherwise(named)
+
+
+#: Text that is a number and nothing else.
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def _number(t: Column) -> Column:
+    t = F.trim(t)
+    return F.when(t.rlike(_NUMBER), t).cast("double")
+
+
+def whole(c: Column) -> Column:
+    """A number as whole euros or cm: cut off, null for 0 or less."""
+    return F.when(c.cast("bigint") > 0, c.cast("bigint"))
 
 
 def money(c: Column, variant: str = "merge") -> Column:
-    """Whole euros of "€30M", "500K", "1 billion". Variants: merge (0 or less is null), push (0 stays), literal (an m or b
-    anywhere scales, k isn't read)."""
-    t = F.lower(F.trim(c.cast("string")))
-    number = F.regexp_extract(F.replace(t, F.lit(",")), r"([0-9]+(?:\.[0-9]+)?)", 1)
-    value = F.when(number != "", number).cast("double")
+    """Whole euros of text like "€30M", "500K", "1 billion"; fractions of a euro are cut off, other text is null.
+
+    Variants: merge and push scale by a million where the text says million or ends in m, by a billion where it says billion or
+    ends in b, by a thousand where it has a k; literal scales by an m or b anywhere and reads no k. Numbers go to whole().
+    """
+    t = F.trim(F.regexp_replace(F.lower(c.cast("string")), "[€$,]", ""))
     if variant == "literal":
-        scale = F.when(t.contains("b"), 1e9).when(t.contains("m"), 1e6).when(t.rlike(r"^[€$£\s]*[0-9.,]+$"), 1.0)
+        million, billion, thousand = F.contains(t, F.lit("m")), F.contains(t, F.lit("b")), F.lit(False)
     else:
-        scale = F.when(t.contains("billion") | t.endswith("b") | t.endswith("bn"), 1e9).when(t.contains("million") | t.endswith("m"), 1e6).when(t.endswith("k"), 1e3).when(t.rlike(r"^[€$£\s]*[0-9.,]+$"), 1.0)
-    whole = F.round(value * scale).cast("bigint")
-    return F.when(whole > 0, whole) if variant == "merge" else whole
+        million, billion, thousand = F.contains(t, F.lit("million")) | F.endswith(t, F.lit("m")), F.contains(t, F.lit("billion")) | F.endswith(t, F.lit("b")), F.contains(t, F.lit("k"))
+    of = lambda unit, times: (_number(F.regexp_replace(t, unit, "")) * times).cast("bigint")
+    return F.when(million, of("million|m", 1e6)).when(billion, of("billion|b", 1e9)).when(thousand, of("k", 1e3)).otherwise(_number(t).cast("bigint"))
 
 
 def height(c: Column) -> Column:
-    """cm of "1.81 m", "181 cm" or a bare number from 100 to 250. Without two decimals the digits of metres are read as cm ("1.8 m" is 108), as ever."""
-    t = F.lower(F.trim(c.cast("string")))
-    metres = F.regexp_extract(t, r"^([12])[.,](\d{1,2})\s*m$", 1).cast("string")
-    part = F.regexp_extract(t, r"^([12])[.,](\d{1,2})\s*m$", 2)
-    of_metres = F.when(metres != "", F.when(metres != "", metres).cast("int") * 100 + F.when(part != "", part).cast("int"))
-    digits = F.regexp_extract(t, r"^(\d{3})(?:\s*cm)?$", 1)
-    of_digits = F.when(digits != "", digits).cast("int")
-    return F.coalesce(of_metres, F.when((of_digits >= 100) & (of_digits <= 250), of_digits))
+    """cm of text that begins with metres ("1.81 m", "1,81m") or with whole cm ("181 cm"), or is a number between 100 and 250,
+    both excluded, cut off. The digits after the point of metres are read as cm ("1.8 m" is 108), as ever. Numbers go to
+    whole()."""
+    t = F.trim(c.cast("string"))
+    metres, cm = r"^(\d{1,6})[.,](\d{1,6})\s*m", r"^(\d{1,6})\s*cm"
+    part = lambda pattern, n: F.nullif(F.regexp_extract(t, pattern, n), F.lit("")).cast("int")
+    bare = _number(t)
+    return F.when(t.rlike(metres), part(metres, 1) * 100 + part(metres, 2)).when(t.rlike(cm), part(cm, 1)).when((F.floor(bare) > 100) & (F.floor(bare) < 250), bare.cast("int"))
 
 
 def fee(c: Column) -> Column:

@@ -36,7 +36,7 @@ def scored(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def profile(name: str, born: str, club: str, nationality: str):
-    return F.struct(matcher_name(F.col(name)).alias("name"), F.col(born).cast("string").alias("born"), F.col(club).alias("club"), F.col(nationality).alias("nationality"))
+    return F.struct(matcher_name(F.col(name)).alias("name"), F.col(born).cast("string").alias("born"), matcher_name(F.col(club)).alias("club"), matcher_name(F.col(nationality)).alias("nationality"))
 
 
 def resolve(queries: DataFrame, base: DataFrame) -> DataFrame:

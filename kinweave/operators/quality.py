@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.functions.nulls import present
+from kinweave.functions.parse import age_at
 
 
 @dataclass(frozen=True)
@@ -80,6 +81,40 @@ def repeated(df: DataFrame, key: str, group: list[Column], order: list[Column],
     return df.withColumn("_n", F.row_number().over(w)).where("_n > 1").select(key, F.lit(label).alias("check"), F.lit(severity).alias("severity"))
 
 
+# Bounds of a player's age and of a squad.
+YOUNGEST, OLDEST, SQUAD = 15, 45, (23, 26)
+
+
+def player_issues(players: DataFrame, squads: DataFrame) -> DataFrame:
+    """(player_name, source_id, check, severity, detail) of players(id, name, position, nationality, date_of_birth) and of
+    squads(the same, team_code): missing texts, ages out of bounds; squads of a wrong size, without a goalkeeper, with a name
+    that occurs again (lower case, trimmed; the least id is the first). Blank texts are missing; an unknown birth date gives
+    no age."""
+    age = age_at(F.col("date_of_birth"))
+    aged = F.concat(F.lit("Age "), age.cast("string"), F.lit(" (DOB: "), F.date_format("date_of_birth", "yyyy-MM-dd"), F.lit(")"))
+    blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
+    issue = lambda name, level, detail: F.struct(F.lit(name).alias("check"), F.lit(level).alias("severity"), detail.alias("detail"))
+    found = F.array(
+        F.when(blank("name"), issue("missing_name", "critical", F.lit("Player has no name"))), F.when(blank("position"), issue("missing_position", "warning", F.lit("No position assigned"))),
+        F.when(blank("nationality"), issue("missing_nationality", "warning", F.lit("No nationality"))),
+        F.when(age < YOUNGEST, issue("age_too_young", "error", aged)).when(age > OLDEST, issue("age_too_old", "warning", aged)),
+    )
+    own = players.select(F.col("name").alias("player_name"), F.col("id").alias("source_id"), F.explode(F.array_compact(found)).alias("i")).select("player_name", "source_id", "i.*")
+    teams = squads.groupBy("team_code").agg(F.count("*").alias("n"), F.count_if(F.upper("position").isin("GK", "GOALKEEPER")).alias("keepers"))
+    low, high = SQUAD
+    size = lambda middle, end: F.concat("team_code", F.lit(middle), F.col("n").cast("string"), F.lit(end))
+    of_team = F.array(
+        F.when(F.col("n") < low, issue("squad_incomplete", "warning", size(" has only ", f" players (expected {low}-{high})"))).when(F.col("n") > high, issue("squad_too_large", "warning", size(" has ", f" players (max {high})"))),
+        F.when(F.col("keepers") == 0, issue("no_goalkeeper", "error", F.concat("team_code", F.lit(" has no goalkeeper in squad")))),
+    )
+    team = teams.select(F.concat(F.lit("TEAM:"), "team_code").alias("player_name"), F.lit("").alias("source_id"), F.explode(F.array_compact(of_team)).alias("i")).select("player_name", "source_id", "i.*")
+    again = F.row_number().over(Window.partitionBy("team_code", F.trim(F.translate(F.lower("name"), "\u0307", ""))).orderBy("id"))
+    twice = squads.where("name is not null").withColumn("_n", again).where("_n > 1")
+    shown = F.concat(F.lit("'"), "name", F.lit("' appears multiple times in "), "team_code")
+    names = twice.select(F.col("name").alias("player_name"), F.lit("").alias("source_id"), F.lit("duplicate_in_team").alias("check"), F.lit("error").alias("severity"), shown.alias("detail"))
+    return own.unionByName(team).unionByName(names)
+
+
 def completeness(df: DataFrame, fields: list[str]) -> DataFrame:
     """(field, filled, total) in one pass."""
     one = df.agg(F.count("*").alias("_total"), *[F.count_if(present(F.col(f))).alias(f) for f in fields])

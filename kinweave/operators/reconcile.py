@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinweave.functions.nulls import SENTINELS
+from kinweave.functions.text import comparable
+
 # Nominal severity of a conflict by field.
 SEVERITY = {
     "CRITICAL": ("current_club", "current_league", "date_of_birth", "nationality"),
@@ -44,28 +47,30 @@ def severity(field: Column) -> Column:
     return out
 
 
-def vote(values: DataFrame, severities: Column | None = None) -> DataFrame:
+def vote(values: DataFrame, severities: Column | None = None, compare: bool = True) -> DataFrame:
     """(entity, field, n_sources, n_values, majority_value, majority, top_value, outcome, severity, status) for fields that two or
     more sources fill.
 
     The majority is the most common value, ties going to the better source; the outcome is agreed, dismissed (one outlier
-    and the best source with the majority) or conflict. Severity drops a level where the best source alone stands against
-    a majority of at least two with one outlier beyond. Values are compared as given: normalize them before. A source
-    that states a field twice counts with its least value.
+    and the best source with the majority) or conflict. A critical conflict is informational where the best source is with a
+    majority of two or more that more than one source stands against. Values are compared in their fields' comparable form
+    (text.comparable; nothing left of a value is no vote), or as given; majority_value is in that form, top_value as stated.
+    A source that states a field twice counts with its least value.
     """
-    once = values.groupBy("entity", "field", "source").agg(F.min(F.struct("prio", "value")).alias("v")).select("entity", "field", "v.prio", "v.value")
-    by_value = once.groupBy("entity", "field", "value").agg(F.count("*").alias("n"), F.min("prio").alias("prio"))
+    form = comparable(F.col("field"), F.col("value")) if compare else F.col("value")
+    once = values.groupBy("entity", "field", "source").agg(F.min(F.struct("prio", "value")).alias("v")).select("entity", "field", "v.prio", "v.value").withColumn("form", form).where("form is not null")
+    by_value = once.groupBy("entity", "field", "form").agg(F.count("*").alias("n"), F.min(F.struct("prio", "value")).alias("s"))
     both = by_value.groupBy("entity", "field").agg(
         F.sum("n").alias("n_sources"), F.count("*").alias("n_values"),
-        F.max(F.struct("n", (-F.col("prio")).alias("p"), "value")).alias("m"), F.min(F.struct("prio", "value")).alias("t"),
+        F.max(F.struct("n", (-F.col("s.prio")).alias("p"), "form")).alias("m"), F.min(F.struct("s", "form")).alias("t"),
     ).where("n_sources >= 2")
-    n, major, agrees = F.col("n_sources"), F.col("m.n"), F.col("m.value") == F.col("t.value")
+    n, major, agrees = F.col("n_sources"), F.col("m.n"), F.col("m.form") == F.col("t.form")
     outlier = (major >= 2) & (n - major <= 1)
     outcome = F.when(F.col("n_values") == 1, "agreed").when(outlier & agrees, "dismissed").otherwise("conflict")
     level = severity(F.col("field")) if severities is None else severities
-    lowered = F.when(~outlier & (major >= 2) & ~agrees, F.when(level == "CRITICAL", "IMPORTANT").otherwise("INFORMATIONAL")).otherwise(level)
+    lowered = F.when(~outlier & (major >= 2) & agrees & (level == "CRITICAL"), "INFORMATIONAL").otherwise(level)
     status = F.when(outcome != "conflict", "none").when(lowered == "INFORMATIONAL", "auto_resolved").otherwise("needs_review")
-    return both.select("entity", "field", "n_sources", "n_values", F.col("m.value").alias("majority_value"), major.alias("majority"), F.col("t.value").alias("top_value"), outcome.alias("outcome"), lowered.alias("severity"), status.alias("status"))
+    return both.select("entity", "field", "n_sources", "n_values", F.col("m.form").alias("majority_value"), major.alias("majority"), F.col("t.s.value").alias("top_value"), outcome.alias("outcome"), lowered.alias("severity"), status.alias("status"))
 
 
 def blocked(votes: DataFrame) -> DataFrame:
@@ -99,13 +104,59 @@ def tolerant_conflict(field: Column, a: Column, b: Column) -> Column:
     return F.when(field == "market_value_eur", F.greatest(x, y) >= 3 * F.least(x, y)).when(field.isin("international_caps", "international_goals"), F.abs(x - y) > 10).when(field == "height_cm", F.abs(x - y) > 3).otherwise(a != b)
 
 
-def diff(current: DataFrame, verified: DataFrame) -> DataFrame:
-    """(entity, field, old, new, was_missing): verified(entity, field, value) that differ from current as trimmed text in lower
-    case; a verified null overwrites a known value."""
+# Fields that are verified, by tier, in the order of a report.
+TIERS = {
+    1: ("current_club", "current_league", "nationality_for_wc", "position_primary", "in_wc_2026_squad"),
+    2: ("date_of_birth", "estimated_value_eur"),
+    3: ("current_jersey_number", "international_caps", "international_goals", "injury_fitness_status", "contract_expires"),
+}
+
+
+def tier_of(field: Column) -> Column:
+    """A field's tier; 3 for a field that is in none."""
+    return F.when(field.isin(*TIERS[1]), 1).when(field.isin(*TIERS[2]), 2).otherwise(3)
+
+
+def diff(current: DataFrame, verified: DataFrame, tier: int | None = None, fields: list[str] | None = None) -> DataFrame:
+    """(entity, field, tier, old, new, was_missing): verified(entity, field, value) that differ from current as trimmed text in
+    lower case, of one tier or some fields if given.
+
+    "" and "null" are nothing on either side, of a verified value also the words none, n/a and unknown; a verified nothing
+    overwrites a known value, nothing against nothing is no change. A field that current has no row for is missing there;
+    entities that current doesn't have at all give no change (not_found()).
+    """
     c = current.select("entity", "field", F.col("value").alias("old"))
-    v = verified.select("entity", "field", F.col("value").alias("new"))
-    norm = lambda x: F.coalesce(F.lower(F.trim(x)), F.lit(""))
-    return v.join(c, ["entity", "field"]).where(norm("old") != norm("new")).select("entity", "field", "old", "new", F.coalesce(F.trim("old") == "", F.lit(True)).alias("was_missing"))
+    v = verified.select("entity", "field", F.col("value").alias("new"), tier_of(F.col("field")).alias("tier")).join(current.select("entity").distinct(), "entity", "left_semi")
+    v = v if tier is None else v.where(F.col("tier") == tier)
+    v = v if fields is None else v.where(F.col("field").isin(*fields))
+    said = lambda x: F.when(~x.isin("", "null"), F.lower(F.trim(x)))
+    old, new = said(F.col("old")), said(F.col("new"))
+    new = F.when(~new.isin(*SENTINELS["verified_new"]), new)
+    changed = v.join(c, ["entity", "field"], "left").where(~old.eqNullSafe(new))
+    return changed.select("entity", "field", "tier", "old", F.when(new.isNotNull(), F.col("new")).alias("new"), F.coalesce(F.col("old").isin("", "null"), F.lit(True)).alias("was_missing"))
+
+
+def not_found(current: DataFrame, verified: DataFrame) -> DataFrame:
+    """(entity): verified entities that current doesn't have."""
+    return verified.select("entity").distinct().join(current.select("entity").distinct(), "entity", "left_anti")
+
+
+def change_counts(changes: DataFrame) -> DataFrame:
+    """(kind, n): filled fields, and changed ones by tier."""
+    kind = F.when(F.col("was_missing"), "filled").otherwise(F.concat(F.lit("tier"), F.col("tier").cast("string")))
+    return changes.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+def curation_flags(changes: DataFrame) -> DataFrame:
+    """(entity, curation_reason): "recency_check: T1:field:old->new; ..." for each entity with changes, by tier, then in the
+    fields' order. An entity has at most as many changes as there are fields."""
+    listed = [f for t in sorted(TIERS) for f in TIERS[t]]
+    at = F.array_position(F.array(*[F.lit(f) for f in listed]), F.col("field"))
+    at = F.when(at == 0, len(listed) + 1).otherwise(at)
+    shown = lambda c: F.coalesce(F.col(c), F.lit("NULL"))
+    line = F.concat(F.lit("T"), F.col("tier").cast("string"), F.lit(":"), "field", F.lit(":"), shown("old"), F.lit("->"), shown("new"))
+    ordered = F.array_sort(F.collect_list(F.struct("tier", at.alias("at"), "field", line.alias("line"))))
+    return changes.groupBy("entity").agg(F.concat(F.lit("recency_check: "), F.array_join(F.transform(ordered, lambda x: x["line"]), "; ")).alias("curation_reason"))
 
 
 def apply_changes(current: DataFrame, changes: DataFrame) -> DataFrame:

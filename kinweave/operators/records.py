@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 from kinweave.functions.text import combined_name, last_token
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, by: list[str], fields: list[str]) -> DataFrame:
+def latest(table: DataFrame, key: str, fields: list[str], at: str) -> DataFrame:
+    """(key, fields...): of each key the row with the latest `at` (null: oldest); of equally late ones the greatest values."""
+    rows = table.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(F.col(at).alias("_at"), *fields)).alias("_f"))
+    return rows.select(key, *[F.col("_f")[f].alias(f) for f in fields])
+
+
+def lookup(rows: DataFrame, table: DataFrame, key: str, by: list[str], fields: list[str], at: str) -> DataFrame:
     """rows with the fields of table(key, fields...) found by the first of rows' columns `by` that has a hit. The table's keys
-    are made unique first (greatest row), so no row multiplies."""
-    once = table.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*fields)).alias("_f"))
+    are made unique first (latest row), so no row multiplies."""
+    once = latest(table, key, fields, at).select(key, F.struct(*fields).alias("_f"))
     out = rows
     for n, c in enumerate(by):
         out = out.join(once.select(F.col(key).alias(c), F.col("_f").alias(f"_f{n}")), c, "left")
@@ -83,12 +89,12 @@ def review_lines(values: DataFrame) -> DataFrame:
     return values.groupBy("entity", "field").agg(F.array_join(pairs, " | ").alias("sources"))
 
 
-def golden(identity: DataFrame, sections: dict[str, tuple[DataFrame, list[str]]], key: str) -> DataFrame:
-    """One nested record for each identity: a struct column for each section, its fields from the section's row, null fields
-    where there is none. Every section's key is made unique first."""
+def golden(identity: DataFrame, sections: dict[str, tuple[DataFrame, list[str], str]], key: str) -> DataFrame:
+    """One nested record for each identity: a struct column for each section (table, fields, time), its fields from the section's
+    latest row, null fields where there is none."""
     out = identity
-    for name, (table, fields) in sections.items():
-        once = table.groupBy(key).agg(F.max(F.struct(*fields)).alias(name))
+    for name, (table, fields, at) in sections.items():
+        once = latest(table, key, fields, at).select(key, F.struct(*fields).alias(name))
         out = out.join(once, key, "left").withColumn(name, F.struct(*[F.col(name)[f].alias(f) for f in fields]))
     return out
 

@@ -68,7 +68,7 @@ def kill_switch(s, d):
     return exact.duplicates(good, "tm_id", "tm").unionAll(exact.duplicates(good, "apif_id", "apif")).unionAll(good.agg(F.count("*").alias("n")).select(F.lit("checked"), F.lit("pairs"), "n"))
 
 
-_STAGED = _RICH + _MULTI + """, one as (select id, max(current_club_name) club, max(market_value_eur) mv from pipeline_players group by 1),
+_STAGED = _RICH + _MULTI + """, one as (select id, club, mv from (select id, current_club_name club, market_value_eur mv, row_number() over (partition by id order by updated_at desc nulls last, current_club_name desc nulls last, market_value_eur desc nulls last) r from pipeline_players) where r = 1),
 staged as (select 'TM:' || tm_id || ' + APIF:' || apif_id source_records, coalesce(a.club, t.club) club, coalesce(t.mv, a.mv) mv, 'Tier 2' tier from good join one t on t.id = tm_id join one a on a.id = apif_id
 union all select 'TM:' || id, club, mv, null from one where id not like 'apif_%' and id not in (select tm_id from good) union all select 'APIF:' || id, club, mv, null from one where id like 'apif_%' and id not in (select apif_id from good))"""
 
@@ -76,7 +76,7 @@ union all select 'TM:' || id, club, mv, null from one where id not like 'apif_%'
 def _staged(s, d) -> DataFrame:
     """Matched pairs as one row, then the unmatched rows of either source. The second source's club comes first, all else second."""
     good = exact.clean(_pairs(s, d), "tm_id", "apif_id")
-    one = table(s, d, "pipeline_players").groupBy("id").agg(F.max("current_club_name").alias("club"), F.max("market_value_eur").alias("mv"))
+    one = records.latest(table(s, d, "pipeline_players"), "id", ["current_club_name", "market_value_eur"], "updated_at").select("id", F.col("current_club_name").alias("club"), F.col("market_value_eur").alias("mv"))
     t, a = one.select(F.col("id").alias("tm_id"), F.col("club").alias("t_club"), F.col("mv").alias("t_mv")), one.select(F.col("id").alias("apif_id"), F.col("club").alias("a_club"), F.col("mv").alias("a_mv"))
     merged = good.join(t, "tm_id").join(a, "apif_id").select(F.concat(F.lit("TM:"), "tm_id", F.lit(" + APIF:"), "apif_id").alias("source_records"), exact.survive(F.col("a_club"), F.col("t_club")).alias("club"), exact.survive(F.col("t_mv"), F.col("a_mv")).alias("mv"), F.lit("Tier 2").alias("tier"))
     second = F.col("id").like("apif_%")
@@ -174,10 +174,10 @@ def projected_squads(s, d):
     return ranking.top_n(j, ["team_code"], [F.desc_nulls_last("mv"), F.asc("id")], 26).select("team_code", "id", "rank")
 
 
-@query("select id, full_legal_name, current_club from (select id, max(full_legal_name) full_legal_name from players group by 1) join (select player_id, max(current_club) current_club from player_career group by 1) c on id = c.player_id join (select distinct player_id from player_tournament where in_squad) t on id = t.player_id")
+@query("select id, full_legal_name, current_club from (select id, max(full_legal_name) full_legal_name from players group by 1) join (select player_id, current_club from (select player_id, current_club, row_number() over (partition by player_id order by updated_at desc nulls last, current_club desc nulls last) r from player_career) where r = 1) c on id = c.player_id join (select distinct player_id from player_tournament where in_squad) t on id = t.player_id")
 def player_chain(s, d):
     p = table(s, d, "players").groupBy("id").agg(F.max("full_legal_name").alias("full_legal_name"))
-    c = table(s, d, "player_career").groupBy(F.col("player_id").alias("id")).agg(F.max("current_club").alias("current_club"))
+    c = records.latest(table(s, d, "player_career"), "player_id", ["current_club"], "updated_at").withColumnRenamed("player_id", "id")
     return p.join(c, "id").join(table(s, d, "player_tournament").where("in_squad").select(F.col("player_id").alias("id")).distinct(), "id")
 
 
@@ -199,16 +199,21 @@ def coverage_gate(s, d):
     return quality.evaluate(table(s, d, "pipeline_players"), gates)
 
 
-@query("""select id, 'no_name' "check", 'ERROR' severity from pipeline_players where name is null or trim(name) = '' union all select id, 'no_birth', 'WARN' from pipeline_players where date_of_birth is null union all select id, 'keeper_out_of_place', 'WARN' from pipeline_players where position = 'Goalkeeper' and sub_position is not null and sub_position <> 'Goalkeeper' union all select id, 'height', 'WARN' from pipeline_players where height_cm not between 150 and 210
-union all select id, 'repeated_in_team', 'ERROR' from (select id, row_number() over (partition by nationality, lower(trim(name)) order by id) n from (select distinct id, nationality, name from pipeline_players)) where n > 1""")
+_PLAYERS = """p as (select distinct id, name, position, nationality, born, in_squad from (select id, name, position, nationality, date_of_birth born, jersey_number is not null in_squad, row_number() over (partition by id order by updated_at desc nulls last, name desc nulls last, position desc nulls last, nationality desc nulls last, date_of_birth desc nulls last, jersey_number desc nulls last) r from pipeline_players) where r = 1),
+a as (select *, date_diff('year', born, date '2026-06-11') - case when strftime(born, '%m%d') > '0611' then 1 else 0 end age from p), w as (select p.*, team_code from p join wc_2026_team_map on nationality = nationality_value where in_squad)"""
+
+
+@query(f"""with {_PLAYERS} select name player_name, id source_id, 'missing_name' "check", 'critical' severity, 'Player has no name' detail from a where coalesce(trim(name), '') = '' union all select name, id, 'missing_position', 'warning', 'No position assigned' from a where coalesce(position, '') = '' union all select name, id, 'missing_nationality', 'warning', 'No nationality' from a where coalesce(nationality, '') = ''
+union all select name, id, 'age_too_young', 'error', 'Age ' || age || ' (DOB: ' || strftime(born, '%Y-%m-%d') || ')' from a where age < 15 union all select name, id, 'age_too_old', 'warning', 'Age ' || age || ' (DOB: ' || strftime(born, '%Y-%m-%d') || ')' from a where age > 45
+union all select 'TEAM:' || team_code, '', 'squad_incomplete', 'warning', team_code || ' has only ' || count(*) || ' players (expected 23-26)' from w group by team_code having count(*) < 23 union all select 'TEAM:' || team_code, '', 'squad_too_large', 'warning', team_code || ' has ' || count(*) || ' players (max 26)' from w group by team_code having count(*) > 26
+union all select 'TEAM:' || team_code, '', 'no_goalkeeper', 'error', team_code || ' has no goalkeeper in squad' from w group by team_code having count(*) filter (where upper(position) in ('GK', 'GOALKEEPER')) = 0
+union all select name, '', 'duplicate_in_team', 'error', chr(39) || name || chr(39) || ' appears multiple times in ' || team_code from (select *, row_number() over (partition by team_code, trim(lower(replace(name, chr(304), 'i'))) order by id) n from w where name is not null) where n > 1""")
 def qa_issues(s, d):
-    p = table(s, d, "pipeline_players")
-    rows = quality.row_issues(p, "id", {
-        "no_name": ("ERROR", ~F.coalesce(F.trim("name") != "", F.lit(False))), "no_birth": ("WARN", F.col("date_of_birth").isNull()),
-        "keeper_out_of_place": ("WARN", (F.col("position") == "Goalkeeper") & (F.col("sub_position") != "Goalkeeper")), "height": ("WARN", ~F.col("height_cm").between(150, 210)),
-    })
-    once = p.select("id", "nationality", "name").distinct()
-    return rows.unionAll(quality.repeated(once, "id", [F.col("nationality"), F.lower(F.trim("name"))], [F.col("id")], "repeated_in_team", "ERROR"))
+    """Rows with a shirt number stand for the squads."""
+    fields = ["name", "position", "nationality", "date_of_birth", "jersey_number"]
+    p = records.latest(table(s, d, "pipeline_players"), "id", fields, "updated_at").withColumn("in_squad", F.col("jersey_number").isNotNull())
+    teams = table(s, d, "wc_2026_team_map").select(F.col("nationality_value").alias("nationality"), "team_code")
+    return quality.player_issues(p, p.where("in_squad").join(teams, "nationality"))
 
 
 @query("select nationality, count(distinct id) n from pipeline_players group by 1 having count(distinct id) not between 20 and 30")
@@ -261,11 +266,17 @@ def semi_or_ids(s, d):
     return p.join(x, "tm_id", "left").join(y, "apif_id", "left").where("_x or _y").groupBy("tm_id").agg(F.max("tm_name").alias("tm_name"))
 
 
-@query("select p.id, coalesce(a.current_club, b.current_club) current_club from (select distinct id, known_as, full_legal_name from players) p left join (select player_id, max(current_club) current_club from player_career where current_club is not null group by 1) a on a.player_id = p.id left join (select player_id, max(current_club) current_club from player_career where current_club is not null group by 1) b on b.player_id = p.known_as")
+_SLUG = "trim(regexp_replace(lower(strip_accents({0})), '[^a-z0-9]+', '-', 'g'), '-')"
+_PLAIN = "regexp_matches(coalesce(full_legal_name, '') || coalesce(known_as, ''), '^[ -~\u00c0-\u00ff]*$') and not regexp_matches(coalesce(full_legal_name, '') || coalesce(known_as, ''), '[\u00c6\u00d0\u00d8\u00de\u00df\u00e6\u00f0\u00f8\u00fe]')"
+
+
+@query(f"""with b as (select slug, height, foot from (select *, row_number() over (partition by slug order by ord desc, height desc nulls last, foot desc nulls last) r from player_bio where slug is not null) where r = 1), p as (select distinct id, {_SLUG.format('full_legal_name')} s, {_SLUG.format('known_as')} t from players where {_PLAIN})
+select id, case when a.slug is not null then a.height else b.height end height, case when a.slug is not null then a.foot else b.foot end foot from p left join b a on a.slug = s left join b on b.slug = t""")
 def lookup_chain(s, d):
-    rows = table(s, d, "players").select("id", "known_as", "full_legal_name").distinct()
-    clubs = table(s, d, "player_career").where("current_club is not null").select(F.col("player_id").alias("k"), "current_club")
-    return records.lookup(rows, clubs, "k", ["id", "known_as"], ["current_club"]).select("id", "current_club")
+    """Biographies by the slug of the full name, else of the short one; names of Western European letters only, which SQL folds the same."""
+    plain = F.concat(F.coalesce("full_legal_name", F.lit("")), F.coalesce("known_as", F.lit(""))).rlike("^[ -~\u00c0-\u00c5\u00c7-\u00cf\u00d1-\u00d7\u00d9-\u00dd\u00e0-\u00e5\u00e7-\u00ef\u00f1-\u00f7\u00f9-\u00fd\u00ff]*$")
+    rows = table(s, d, "players").where(plain).select("id", text.slug(F.col("full_legal_name")).alias("s"), text.slug(F.col("known_as")).alias("t")).distinct()
+    return records.lookup(rows, table(s, d, "player_bio"), "slug", ["s", "t"], ["height", "foot"], "ord").select("id", "height", "foot")
 
 
 @query("select distinct tm_id, apif_id, coalesce(contains(lower(tm_birth_country), lower(trim(nationality))) or contains(lower(trim(nationality)), lower(tm_birth_country)) or contains(lower(apif_birth_country), lower(trim(nationality))) or contains(lower(trim(nationality)), lower(apif_birth_country)), true) plausible from dedup_pairs where tm_birth_country is not null and apif_birth_country is not null")
@@ -280,19 +291,18 @@ def review_lines(s, d):
     return records.review_lines(p.select(F.col("profile_id").alias("entity"), F.lit("current_club").alias("field"), F.coalesce("match_tier", F.lit("none")).alias("source"), F.col("current_club").alias("value")))
 
 
-@query("select p.id, full_legal_name, c.current_club club, c.jersey number, t.caps caps from (select id, max(full_legal_name) full_legal_name from players group by 1) p left join (select player_id, max({'a': current_club, 'b': current_jersey_number}).a current_club, max({'a': current_club, 'b': current_jersey_number}).b jersey from player_career where current_club is not null and current_jersey_number is not null group by 1) c on c.player_id = p.id left join (select player_id, max(international_caps) caps from player_tournament where international_caps is not null group by 1) t on t.player_id = p.id")
+@query("select p.id, full_legal_name, c.current_club club, c.jersey number, t.caps caps from (select id, max(full_legal_name) full_legal_name from players group by 1) p left join (select player_id, current_club, current_jersey_number jersey from (select *, row_number() over (partition by player_id order by updated_at desc nulls last, current_club desc nulls last, current_jersey_number desc nulls last) r from player_career) where r = 1) c on c.player_id = p.id left join (select player_id, international_caps caps from (select *, row_number() over (partition by player_id order by updated_at desc nulls last, international_caps desc nulls last) r from player_tournament) where r = 1) t on t.player_id = p.id")
 def golden_record(s, d):
     identity = table(s, d, "players").groupBy("id").agg(F.max("full_legal_name").alias("full_legal_name"))
-    career = table(s, d, "player_career").where("current_club is not null and current_jersey_number is not null").withColumnRenamed("player_id", "id")
-    cup = table(s, d, "player_tournament").where("international_caps is not null").withColumnRenamed("player_id", "id")
-    g = records.golden(identity, {"career": (career, ["current_club", "current_jersey_number"]), "cup": (cup, ["international_caps"])}, "id")
+    career, cup = (table(s, d, t).withColumnRenamed("player_id", "id") for t in ("player_career", "player_tournament"))
+    g = records.golden(identity, {"career": (career, ["current_club", "current_jersey_number"], "updated_at"), "cup": (cup, ["international_caps"], "updated_at")}, "id")
     return g.select("id", "full_legal_name", F.col("career.current_club").alias("club"), F.col("career.current_jersey_number").alias("number"), F.col("cup.international_caps").alias("caps"))
 
 
-@query("""with k as (select id, max(height_cm) height_cm, max(current_club_name) club from pipeline_players where id not like 'apif_%' group by 1), l as (select tm_id id, max(apif_height_cm) height_cm, max(apif_club) club from dedup_pairs group by 1)
+@query("""with k as (select id, height_cm, current_club_name club from (select *, row_number() over (partition by id order by updated_at desc nulls last, height_cm desc nulls last, current_club_name desc nulls last) r from pipeline_players where id not like 'apif_%') where r = 1), l as (select tm_id id, max(apif_height_cm) height_cm, max(apif_club) club from dedup_pairs group by 1)
 select k.id, coalesce(l.club, k.club) club, case when l.height_cm > 100 and l.height_cm < 230 then l.height_cm else k.height_cm end height_cm, case when l.id is null then 'not_found' when coalesce(l.club, k.club) is distinct from k.club or (case when l.height_cm > 100 and l.height_cm < 230 then l.height_cm else k.height_cm end) is distinct from k.height_cm then 'updated' else 'no_changes' end status from k left join l on k.id = l.id""")
 def live_compare(s, d):
-    known = table(s, d, "pipeline_players").where(~F.col("id").like("apif_%")).groupBy("id").agg(F.max("height_cm").alias("height_cm"), F.max("current_club_name").alias("club"))
+    known = records.latest(table(s, d, "pipeline_players").where(~F.col("id").like("apif_%")), "id", ["height_cm", "current_club_name"], "updated_at").withColumnRenamed("current_club_name", "club")
     live_rows = table(s, d, "dedup_pairs").groupBy(F.col("tm_id").alias("id")).agg(F.max("apif_height_cm").alias("height_cm"), F.max("apif_club").alias("club"))
     return records.live_changes(known, live_rows, "id", ["club"], [], "height_cm")
 

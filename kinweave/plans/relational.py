@@ -205,16 +205,16 @@ def alias_or_join(s, d):
     return exact.or_join(rows, aliases, [("as_name", "name"), ("as_nation", "nation")], "target").select("c_custkey", "target").distinct()
 
 
-_VALUES = """with v as (select cast(l_orderkey as varchar) entity, field, l_linenumber prio, min(value) "value" from (select l_orderkey, l_linenumber, 'current_club' field, l_returnflag "value" from lineitem where l_linenumber <= 4 union all select l_orderkey, l_linenumber, 'position', l_linestatus from lineitem where l_linenumber <= 4 union all select l_orderkey, l_linenumber, 'height_cm', cast(cast(l_quantity as bigint) as varchar) from lineitem where l_linenumber <= 4) where "value" is not null group by all)"""
-_VOTES = _VALUES + """, c as (select entity, field, "value", count(*) n, min(prio) prio from v group by all), g as (select entity, field, cast(sum(n) as bigint) n_sources, count(*) n_values, max(n) majority, arg_min("value", prio) top_value from c group by all having sum(n) >= 2), m as (select c.entity, c.field, c."value" majority_value, row_number() over (partition by c.entity, c.field order by n desc, prio) r from c),
-o as (select g.*, majority_value, majority_value = top_value agrees, majority >= 2 and n_sources - majority <= 1 outlier, case g.field when 'current_club' then 'CRITICAL' when 'position' then 'IMPORTANT' else 'INFORMATIONAL' end lvl from g join m on g.entity = m.entity and g.field = m.field and r = 1),
-w as (select *, case when n_values = 1 then 'agreed' when outlier and agrees then 'dismissed' else 'conflict' end outcome, case when not outlier and majority >= 2 and not agrees then case lvl when 'CRITICAL' then 'IMPORTANT' else 'INFORMATIONAL' end else lvl end severity from o),
+_VALUES = """with v as (select cast(l_orderkey as varchar) entity, field, l_linenumber prio, min(value) "value" from (select l_orderkey, l_linenumber, 'current_club' field, l_returnflag "value" from lineitem union all select l_orderkey, l_linenumber, 'position', l_linestatus from lineitem union all select l_orderkey, l_linenumber, 'height_cm', cast(cast(l_quantity as bigint) as varchar) from lineitem) where "value" is not null group by all)"""
+_VOTES = _VALUES + """, f as (select *, lower("value") form from v), c as (select entity, field, form, count(*) n, min(prio) prio, arg_min("value", prio) stated from f group by all), g as (select entity, field, cast(sum(n) as bigint) n_sources, count(*) n_values, max(n) majority, arg_min(stated, prio) top_value, arg_min(form, prio) top_form from c group by all having sum(n) >= 2), m as (select c.entity, c.field, c.form majority_value, row_number() over (partition by c.entity, c.field order by n desc, prio) r from c),
+o as (select g.*, majority_value, majority_value = top_form agrees, majority >= 2 and n_sources - majority <= 1 outlier, case g.field when 'current_club' then 'CRITICAL' when 'position' then 'IMPORTANT' else 'INFORMATIONAL' end lvl from g join m on g.entity = m.entity and g.field = m.field and r = 1),
+w as (select *, case when n_values = 1 then 'agreed' when outlier and agrees then 'dismissed' else 'conflict' end outcome, case when not outlier and majority >= 2 and agrees and lvl = 'CRITICAL' then 'INFORMATIONAL' else lvl end severity from o),
 votes as (select entity, field, n_sources, n_values, majority_value, majority, top_value, outcome, severity, case when outcome <> 'conflict' then 'none' when severity = 'INFORMATIONAL' then 'auto_resolved' else 'needs_review' end status from w) """
 
 
 def _values(s, d):
-    """Lines 1 to 4 of an order as four sources of falling trust that state three fields of one entity."""
-    li = table(s, d, "lineitem").where("l_linenumber <= 4").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("current_club"), F.col("l_linestatus").alias("position"), F.col("l_quantity").cast("bigint").alias("height_cm"))
+    """The lines of an order as sources of falling trust that state three fields of one entity."""
+    li = table(s, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("current_club"), F.col("l_linestatus").alias("position"), F.col("l_quantity").cast("bigint").alias("height_cm"))
     long = reconcile.long_form(li, "l_orderkey", F.concat(F.lit("source"), "l_linenumber"), F.col("l_linenumber"), ["current_club", "position", "height_cm"])
     return long.groupBy("entity", "field", "source", "prio").agg(F.min("value").alias("value"))
 
@@ -256,24 +256,51 @@ def recon_tolerant(s, d):
     return j.select("a", "b", reconcile.tolerant_conflict(F.lit("market_value_eur"), F.col("x"), F.col("y")).alias("conflict"))
 
 
-_CURRENT = "select cast(o_orderkey as varchar) entity, 'status' field, o_orderstatus value from orders"
-_VERIFIED = "select cast(l_orderkey as varchar) entity, 'status' field, nullif(min(l_linestatus), 'O') value from lineitem group by 1"
+_CURRENT = "select cast(o_orderkey as varchar) entity, 'current_club' field, o_orderstatus \"value\" from orders union all select cast(o_orderkey as varchar), 'contract_expires', case when o_orderkey % 5 = 0 then 'null' else o_orderpriority end from orders"
+_VERIFIED = "select cast(l_orderkey as varchar) entity, 'current_club' field, case when l_orderkey % 3 = 0 then ' N/A' else lower(min(l_linestatus)) end \"value\" from lineitem group by l_orderkey union all select cast(l_orderkey as varchar), 'contract_expires', case when l_orderkey % 4 = 0 then 'none' when l_orderkey % 4 = 1 then null else '2-HIGH ' end from lineitem group by l_orderkey"
+_DIFF = f"""with c as ({_CURRENT}), v as ({_VERIFIED}), j as (select v.entity, v.field, case v.field when 'current_club' then 1 else 3 end tier, c."value" "old", v."value" "new", case when c."value" not in ('', 'null') then lower(trim(c."value")) end o, case when v."value" not in ('', 'null') and lower(trim(v."value")) not in ('null', 'none', 'n/a', 'unknown') then lower(trim(v."value")) end n from v left join c on c.entity = v.entity and c.field = v.field where v.entity in (select entity from c)),
+d as (select entity, field, tier, "old", case when n is not null then "new" end "new", coalesce("old" in ('', 'null'), true) was_missing from j where o is distinct from n)"""
 
 
-@query(f"select c.entity, c.field, c.value \"old\", v.value \"new\", coalesce(trim(c.value) = '', true) was_missing from ({_CURRENT}) c join ({_VERIFIED}) v on c.entity = v.entity where coalesce(lower(c.value), '') <> coalesce(lower(v.value), '')")
+@query(_DIFF + " select * from d")
 def verify_diff(s, d):
     return reconcile.diff(*_states(s, d))
 
 
-@query(f"select c.entity, c.field, case when v.entity is not null and coalesce(lower(c.value), '') <> coalesce(lower(v.value), '') then v.value else c.value end \"value\" from ({_CURRENT}) c left join ({_VERIFIED}) v on c.entity = v.entity")
+@query(_DIFF + " select * from d where tier = 1")
+def verify_diff_tier(s, d):
+    return reconcile.diff(*_states(s, d), tier=1)
+
+
+@query(_DIFF + """ select entity, 'recency_check: ' || string_agg('T' || tier || ':' || field || ':' || coalesce("old", 'NULL') || '->' || coalesce("new", 'NULL'), '; ' order by tier) curation_reason from d group by 1""")
+def verify_flags(s, d):
+    return reconcile.curation_flags(reconcile.diff(*_states(s, d)))
+
+
+@query(_DIFF + " select case when was_missing then 'filled' else 'tier' || tier end kind, count(*) n from d group by 1")
+def verify_counts(s, d):
+    return reconcile.change_counts(reconcile.diff(*_states(s, d)))
+
+
+@query("select cast(o_orderkey as varchar) entity from orders where o_orderstatus = 'F' and cast(o_orderkey as varchar) not in (select cast(o_orderkey as varchar) from orders where o_orderpriority = '1-URGENT')")
+def verify_not_found(s, d):
+    o = table(s, d, "orders").select(F.col("o_orderkey").cast("string").alias("entity"), "o_orderstatus", "o_orderpriority")
+    return reconcile.not_found(o.where("o_orderpriority = '1-URGENT'"), o.where("o_orderstatus = 'F'"))
+
+
+@query(_DIFF + """ select c.entity, c.field, case when d.entity is not null then d."new" else c."value" end "value" from c left join d on c.entity = d.entity and c.field = d.field""")
 def verify_apply(s, d):
     current, verified = _states(s, d)
     return reconcile.apply_changes(current, reconcile.diff(current, verified))
 
 
 def _states(s, d):
-    current = table(s, d, "orders").select(F.col("o_orderkey").cast("string").alias("entity"), F.lit("status").alias("field"), F.col("o_orderstatus").alias("value"))
-    verified = table(s, d, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("entity")).agg(F.nullif(F.min("l_linestatus"), F.lit("O")).alias("value")).select("entity", F.lit("status").alias("field"), "value")
+    """An order's status and priority as two fields, and what its lines say of them, with words for nothing on both sides."""
+    key = F.col("o_orderkey")
+    current = table(s, d, "orders").select(key.cast("string").alias("entity"), F.explode(F.create_map(F.lit("current_club"), "o_orderstatus", F.lit("contract_expires"), F.when(key % 5 == 0, "null").otherwise(F.col("o_orderpriority")))).alias("field", "value"))
+    lines, key = table(s, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_linestatus").alias("v")), F.col("l_orderkey")
+    priority = F.when(key % 4 == 0, "none").when(key % 4 != 1, "2-HIGH ")
+    verified = lines.select(key.cast("string").alias("entity"), F.explode(F.create_map(F.lit("current_club"), F.when(key % 3 == 0, " N/A").otherwise(F.lower("v")), F.lit("contract_expires"), priority)).alias("field", "value"))
     return current, verified
 
 
@@ -386,11 +413,27 @@ def parse_money(s, d):
     return p.select("p_partkey", m.alias("merge"), e.alias("even"))
 
 
-@query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') iso, strftime(o_orderdate, '%Y') || '-06-30' of_year, strftime(o_orderdate, '%Y-%m') || '-28' of_month from orders")
+_EURO = """select ord, height, trim(replace(replace(replace(lower(marketvalue), '€', ''), '$', ''), ',', '')) t from player_bio"""
+_NUM = r"try_cast(case when regexp_matches(trim({0}), '^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$') then trim({0}) end as double)"
+_OF = lambda unit, times: f"cast(trunc({_NUM.format('regexp_replace(t, ' + repr(unit) + ', %s, %s)' % (repr(''), repr('g')))} * {times}) as bigint)"
+
+
+@query(f"""with b as ({_EURO}) select ord,
+  case when regexp_matches(trim(height), '^\\d+[.,]\\d+\\s*m') then cast(regexp_extract(trim(height), '^(\\d+)[.,]', 1) as int) * 100 + cast(regexp_extract(trim(height), '^\\d+[.,](\\d+)', 1) as int)
+    when regexp_matches(trim(height), '^\\d+\\s*cm') then cast(regexp_extract(trim(height), '^(\\d+)', 1) as int)
+    when floor({_NUM.format('height')}) > 100 and floor({_NUM.format('height')}) < 250 then cast(trunc({_NUM.format('height')}) as int) end height,
+  case when contains(t, 'million') or suffix(t, 'm') then {_OF('million|m', 1e6)} when contains(t, 'billion') or suffix(t, 'b') then {_OF('billion|b', 1e9)} when contains(t, 'k') then {_OF('k', 1e3)} else cast(trunc({_NUM.format('t')}) as bigint) end of_merge,
+  case when contains(t, 'm') then {_OF('million|m', 1e6)} when contains(t, 'b') then {_OF('billion|b', 1e9)} else cast(trunc({_NUM.format('t')}) as bigint) end of_literal from b""")
+def parse_bios(s, d):
+    """Heights and values as people type them, by the rules of two steps."""
+    return table(s, d, "player_bio").select("ord", parse.height(F.col("height")).alias("height"), parse.money(F.col("marketvalue")).alias("of_merge"), parse.money(F.col("marketvalue"), "literal").alias("of_literal"))
+
+
+@query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') iso, strftime(o_orderdate, '%Y') || '-06-30' of_year, strftime(o_orderdate, '%Y-%m') || '-28' of_month, strftime(o_orderdate, '%Y-%m') || '-28' of_day from orders")
 def parse_contract(s, d):
     day = F.col("o_orderdate")
-    forms = [F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "yyyy"), F.date_format(day, "MMMM yyyy")]
-    return table(s, d, "orders").select("o_orderkey", *[parse.contract_day(f).alias(n) for f, n in zip(forms, ("iso", "of_year", "of_month"), strict=True)])
+    forms = [F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "yyyy"), F.date_format(day, "MMMM yyyy"), F.date_format(day, "'until 'd MMMM yyyy")]
+    return table(s, d, "orders").select("o_orderkey", *[parse.contract_day(f).alias(n) for f, n in zip(forms, ("iso", "of_year", "of_month", "of_day"), strict=True)])
 
 
 @query("select o_orderkey, date_diff('year', cast(o_orderdate as date), date '2026-06-11') - case when strftime(o_orderdate, '%m%d') > '0611' then 1 else 0 end age from orders")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,10 @@ class Versions:
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     def list(self) -> list[int]:
+        """Versions that are written whole."""
+        return [n for n in self._numbers() if exists(self.spark, f"{self.root}/v={n}/_SUCCESS")]
+
+    def _numbers(self) -> list[int]:
         if not exists(self.spark, self.root):
             return []
         fs, p = self._fs(self.root)
@@ -34,20 +40,40 @@ class Versions:
             return None
         return json.loads(self.spark.read.text(f"{self.root}/current").first()[0])["version"]
 
+    def _reserve(self) -> int:
+        """A number of one's own: its marker is created only if nobody else has."""
+        version = max(self._numbers(), default=0) + 1
+        while True:
+            fs, p = self._fs(f"{self.root}/_taken/{version}")
+            try:
+                fs.create(p, False).close()
+                return version
+            except Py4JJavaError:
+                if not fs.exists(p):
+                    raise
+                version += 1
+
     def publish(self, df: DataFrame) -> int:
-        version = max(self.list(), default=0) + 1
+        version = self._reserve()
         df.write.parquet(f"{self.root}/v={version}")
         self.point(version)
         return version
 
     def point(self, version: int) -> None:
+        """Makes a version the current one. The new pointer is renamed over the old one in a single step, so that readers always
+        find one."""
         if version not in self.list():
             raise ValueError(f"no version {version}")
-        new = f"{self.root}/current.new"
-        self.spark.range(1).select(F.lit(json.dumps({"version": version})).alias("value")).coalesce(1).write.mode("overwrite").text(new)
-        fs, p = self._fs(f"{self.root}/current")
-        fs.delete(p, True)
-        fs.rename(self._fs(new)[1], p)
+        fs, new = self._fs(f"{self.root}/_current-{uuid.uuid4().hex}")
+        out = fs.create(new, True)
+        out.write(bytearray(json.dumps({"version": version}).encode()))
+        out.close()
+        jvm = self.spark.sparkContext._jvm
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        over = self.spark.sparkContext._gateway.new_array(rename, 1)
+        over[0] = rename.OVERWRITE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(new.toUri() if new.toUri().getScheme() else fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(fs.makeQualified(new), fs.makeQualified(self._fs(f"{self.root}/current")[1]), over)
 
     def read(self, version: int | None = None) -> DataFrame:
         version = self.current() if version is None else version

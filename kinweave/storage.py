@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -12,9 +13,12 @@ _roots: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder for written intermediates: spark.checkpoint.dir where the session has it, else (tests) a temporary one."""
+    """The folder for written intermediates: spark.checkpoint.dir where the session has it, else a temporary one, on a local
+    master only: on a cluster every executor would write to a disk of its own."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = _roots.get("") or "file://" + tempfile.mkdtemp(prefix="kinweave-")
         _roots[""] = conf
     app = spark.sparkContext.applicationId

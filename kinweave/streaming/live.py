@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.operators.ranking import last_of
+from kinweave.sources.files import exists
+from kinweave.storage import remove
 
 
 def latest(df: DataFrame, key: str, at: list[str], keep: list[str]) -> DataFrame:
@@ -29,9 +31,13 @@ def replace_each_batch(spark: SparkSession, source: str, schema: str, key: str,
         if number:
             rows = rows.unionByName(session.read.parquet(f"{target}/state={number - 1}").select(key, *at, *keep))
         latest(rows, key, at, keep).write.mode("overwrite").parquet(f"{target}/state={number}")
+        if number > 1:  # the batch before may be run again, those before it never
+            remove(session, f"{target}/state={number - 2}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     query = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    if not exists(spark, target):  # a stream without files
+        return spark.createDataFrame([], schema).select(key, *at, *keep)
     last = spark.read.parquet(target).agg(F.max("state")).first()[0]
     return spark.read.parquet(f"{target}/state={last}")

@@ -1,4 +1,5 @@
 import os
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -14,6 +15,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="kinweave-tests-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

@@ -21,10 +21,10 @@ VALUES = "entity string, field string, source string, value string, prio int"
 
 @pytest.mark.parametrize(("values", "outcome", "severity", "status"), [
     (["A", "A"], "agreed", "CRITICAL", "none"), (["A", "A", "B"], "dismissed", "CRITICAL", "none"), (["B", "A", "A"], "conflict", "CRITICAL", "needs_review"), (["A", "B"], "conflict", "CRITICAL", "needs_review"),
-    (["A", "B", "C"], "conflict", "CRITICAL", "needs_review"), (["A", "A", "B", "B"], "conflict", "CRITICAL", "needs_review"), (["C", "A", "A", "B"], "conflict", "IMPORTANT", "needs_review"), (["A"], None, None, None),
+    (["A", "B", "C"], "conflict", "CRITICAL", "needs_review"), (["A", "A", "B", "B"], "conflict", "INFORMATIONAL", "auto_resolved"), (["A", "A", "B", "C"], "conflict", "INFORMATIONAL", "auto_resolved"), (["C", "A", "A", "B"], "conflict", "CRITICAL", "needs_review"), (["Man City FC", "manchester city ", None, "B"], "dismissed", "CRITICAL", "none"), (["A"], None, None, None),
 ])
 def test_votes(spark, values, outcome, severity, status):
-    v = spark.createDataFrame([("e", "current_club", f"s{i}", x, i) for i, x in enumerate(values)], VALUES)
+    v = spark.createDataFrame([("e", "current_club", f"s{i}", x, i) for i, x in enumerate(values) if x], VALUES)
     got = reconcile.vote(v).collect()
     assert [(r["outcome"], r["severity"], r["status"]) for r in got] == ([(outcome, severity, status)] if outcome else [])
 
@@ -42,10 +42,36 @@ def test_verified_null_overwrites(spark):
     current = spark.createDataFrame([("e", "club", "A"), ("f", "club", None), ("g", "club", "C")], "entity string, field string, value string")
     verified = spark.createDataFrame([("e", "club", None), ("f", "club", "B"), ("g", "club", " c ")], "entity string, field string, value string")
     d = reconcile.diff(current, verified)
-    assert rows(d) == [("e", "club", "A", None, False), ("f", "club", None, "B", True)]
+    assert rows(d) == [("e", "club", 3, "A", None, False), ("f", "club", 3, None, "B", True)]
     assert rows(reconcile.apply_changes(current, d).select("entity", "value")) == [("e", None), ("f", "B"), ("g", "C")]
 
 
+def test_words_for_nothing_tiers_and_flags(spark):
+    schema = "entity string, field string, value string"
+    current = spark.createDataFrame([("e", "current_club", "A"), ("e", "international_caps", None), ("e", "date_of_birth", "null"), ("e", "contract_expires", "2027")], schema)
+    verified = spark.createDataFrame([("e", "current_club", "Unknown"), ("e", "international_caps", "N/A"), ("e", "date_of_birth", "2000-01-01"), ("e", "contract_expires", "2028"), ("e", "position_primary", "GK"), ("x", "current_club", "B")], schema)
+    d = reconcile.diff(current, verified)
+    assert rows(d) == [("e", "contract_expires", 3, "2027", "2028", False), ("e", "current_club", 1, "A", None, False), ("e", "date_of_birth", 2, "null", "2000-01-01", True), ("e", "position_primary", 1, None, "GK", True)]
+    assert rows(reconcile.diff(current, verified, tier=2)) == [("e", "date_of_birth", 2, "null", "2000-01-01", True)]
+    assert rows(reconcile.diff(current, verified, fields=["contract_expires"])) == [("e", "contract_expires", 3, "2027", "2028", False)]
+    assert rows(reconcile.not_found(current, verified)) == [("x",)]
+    assert rows(reconcile.change_counts(d)) == [("filled", 2), ("tier1", 1), ("tier3", 1)]
+    assert rows(reconcile.curation_flags(d)) == [("e", "recency_check: T1:current_club:A->NULL; T1:position_primary:NULL->GK; T2:date_of_birth:null->2000-01-01; T3:contract_expires:2027->2028")]
+
+
+def test_player_issues(spark):
+    import datetime as dt
+
+    day = dt.date(1999, 1, 1)
+    schema = "id string, name string, position string, nationality string, date_of_birth date, team_code string"
+    squad = [(f"{i:02}", f"n{i}", "Defender", "X", day, "AAA") for i in range(22)] + [(f"{i:02}", "same " if i == 40 else "Same" if i == 41 else f"m{i}", "gk", "X", day, "BBB") for i in range(30, 57)]
+    odd = [("a", " ", None, "", dt.date(2015, 1, 1), None), ("b", "old", "x", "y", dt.date(1970, 1, 1), None), ("c", None, "x", "y", None, None)]
+    p, s = spark.createDataFrame(odd, schema), spark.createDataFrame(squad, schema)
+    got = {(r["source_id"] or r["player_name"], r["check"], r["severity"]) for r in quality.player_issues(p, s).collect()}
+    assert got == {("a", "missing_name", "critical"), ("a", "missing_position", "warning"), ("a", "missing_nationality", "warning"), ("a", "age_too_young", "error"), ("b", "age_too_old", "warning"), ("c", "missing_name", "critical"), ("TEAM:AAA", "squad_incomplete", "warning"), ("TEAM:AAA", "no_goalkeeper", "error"), ("TEAM:BBB", "squad_too_large", "warning"), ("Same", "duplicate_in_team", "error")}
+    assert quality.player_issues(p.limit(0), s.limit(0)).count() == 0
+
+
 def test_upserts(spark):
     t = spark.createDataFrame([(1, "a", 1), (2, "b", None), (3, "c", 3)], "k int, n string, v int")
     n = spark.createDataFrame([(2, "B", 2), (3, "c", None), (4, "d", 4), (4, "d", 4)], "k int, n string, v int")
@@ -91,13 +117,29 @@ def test_candidates_and_routes(spark):
     assert out.count() == 4
 
 
-@pytest.mark.parametrize("sql", ["drop table t", "select 1; select 2", "select * from secret", "with x as (select * from secret) select * from x", "select * from t join secret on true", "insert into t select 1", "select * from t, secret", "select reflect('java.lang.System', 'exit') from t"])
-def test_guard_rejects(sql):
-    with pytest.raises(readonly.Rejected):
-        readonly.check(sql, {"t"})
+@pytest.mark.parametrize("sql", [
+    "drop table t", "select 1; select 2", "select * from secret", "with x as (select * from secret) select * from x", "select * from t join secret on true", "insert into t select 1", "select * from t, secret",
+    "select reflect('java.lang.System', 'exit') from t", "with secret as (select * from secret) select * from secret", "select k from t union all table secret", "select k from t where k in (select k from secret)", "select * from parquet.`/root`", "select k from nowhere",
+])
+def test_guard_rejects(spark, sql):
+    df = spark.range(3).withColumnRenamed("id", "k")
+    df.createOrReplaceTempView("secret")
+    try:
+        with pytest.raises(readonly.Rejected):
+            readonly.answer(spark, sql, {"t": df})
+    finally:
+        spark.catalog.dropTempView("secret")
 
 
 def test_guard_accepts(spark):
     df = spark.range(200).withColumnRenamed("id", "k")
-    assert readonly.check("select 'drop; x' from t -- c", {"t"}).startswith("select")
+    assert readonly.check("select 'drop; x' from t -- c").startswith("select")
     assert readonly.answer(spark, "with x as (select k from t) select * from x", {"t": df}).count() == readonly.MOST
+    assert not spark.catalog.tableExists("t")
+    assert len(readonly.rows(spark, "select count(*) c from t where k in (select k from T)", {"t": df})) == 1
+
+
+def test_guard_stops_slow_answers(spark):
+    df = spark.range(4_000_000_000).withColumnRenamed("id", "k")
+    with pytest.raises(Exception, match="(?i)cancel"):
+        readonly.rows(spark, "select count(distinct k) c from t", {"t": df}, seconds=1.0)

@@ -10,7 +10,7 @@ def rows(df):
 def test_lookup_takes_the_first_hit(spark):
     r = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, None, "z")], "id int, slug string, alt string")
     t = spark.createDataFrame([("a", 1), ("y", 2), ("y", 1), ("x", 9)], "k string, v int")
-    assert rows(records.lookup(r, t, "k", ["slug", "alt"], ["v"])) == [(1, "a", "x", 1), (2, "b", "y", 2), (3, None, "z", None)]
+    assert rows(records.lookup(r, t, "k", ["slug", "alt"], ["v"], "v")) == [(1, "a", "x", 1), (2, "b", "y", 2), (3, None, "z", None)]
 
 
 def test_name_rules(spark):
@@ -45,7 +45,7 @@ def test_lists_of_any_shape(spark):
 def test_golden_and_live(spark):
     i = spark.createDataFrame([("a", 1), ("b", 2)], "k string, x int")
     c = spark.createDataFrame([("a", "X"), ("a", "W")], "k string, club string")
-    assert [(r["k"], r["career"]["club"]) for r in records.golden(i, {"career": (c, ["club"])}, "k").orderBy("k").collect()] == [("a", "X"), ("b", None)]
+    assert [(r["k"], r["career"]["club"]) for r in records.golden(i, {"career": (c, ["club"], "club")}, "k").orderBy("k").collect()] == [("a", "X"), ("b", None)]
     known = spark.createDataFrame([("a", "X", "p", 180), ("b", "Y", None, 170), ("c", "Z", None, 160)], "k string, club string, photo string, h int")
     live = spark.createDataFrame([("a", "X", None, 300), ("b", "Q", "new", 175)], "k string, club string, photo string, h int")
     assert rows(records.live_changes(known, live, "k", ["club"], ["photo"], "h")) == [("a", "X", "p", 180, "no_changes"), ("b", "Q", "new", 175, "updated"), ("c", "Z", None, 160, "not_found")]
