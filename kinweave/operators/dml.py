@@ -31,6 +31,11 @@ def upsert(target: DataFrame, new: DataFrame, key: list[str], keep_old_if_null:
     return joined.select(*key, *[value(c).alias(c) for c in rest]).select(*target.columns)
 
 
+def add_counts(target: DataFrame, new: DataFrame, key: list[str], count: str) -> DataFrame:
+    """ON CONFLICT DO UPDATE SET n = n + EXCLUDED.n: counters of equal keys are added up, others kept or added."""
+    return target.select(*key, count).unionAll(new.select(*key, count)).groupBy(*key).agg(F.sum(count).alias(count))
+
+
 def update_from(target: DataFrame, source: DataFrame, key: list[str], sets: dict[str, Column], order: list[Column] | None = None) -> DataFrame:
     """UPDATE ... FROM: sets may name source columns as s_<name>; the source is reduced to one row a key before the join."""
     s = one_each(source, key, order)

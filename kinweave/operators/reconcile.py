@@ -32,6 +32,30 @@ def merge(values: DataFrame) -> DataFrame:
     return values.groupBy("entity", "field").agg(best, F.count_distinct("source").alias("n_sources")).select("entity", "field", "m.value", "m.source", "n_sources")
 
 
+# Which fields each source may supply, best source first.
+PERMITTED = {
+    "transfermarkt": ("date_of_birth", "nationality", "position", "height_cm", "current_club", "current_league", "market_value_eur", "contract_expires", "photo_url", "agent", "career_trajectory"),
+    "static_bios": ("date_of_birth", "height_cm", "market_value_eur", "international_caps", "international_goals", "major_trophies"),
+    "static_squads": ("position", "jersey_number", "captain", "current_club"),
+    "gpt_enrichment": ("date_of_birth", "nationality", "position", "height_cm", "current_club", "current_league", "market_value_eur", "contract_expires", "agent", "career_trajectory", "international_caps", "international_goals", "jersey_number", "major_trophies"),
+}
+
+
+def permitted(values: DataFrame, allowed: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """The values whose source may supply their field; a source that isn't listed supplies nothing."""
+    pairs = [F.struct(F.lit(s).alias("source"), F.lit(f).alias("field")) for s, fields in (PERMITTED if allowed is None else allowed).items() for f in fields]
+    return values.where(F.array_contains(F.array(*pairs), F.struct(F.col("source").alias("source"), F.col("field").alias("field"))))
+
+
+def missing_fields(values: DataFrame, critical: list[str]) -> DataFrame:
+    """(entity, missing, coverage): entities that lack one of the critical fields, which ones in the given order, and the share
+    they have, to two places. Every entity counts that has a row, if only with nulls."""
+    has = [F.max(((F.col("field") == f) & F.col("value").isNotNull()).cast("int")).alias(f) for f in critical]
+    flags = values.groupBy("entity").agg(*has)
+    lacking = F.array_compact(F.array(*[F.when(F.col(f) == 0, F.lit(f)) for f in critical]))
+    return flags.select("entity", lacking.alias("missing")).where(F.size("missing") > 0).withColumn("coverage", F.round((len(critical) - F.size("missing")) / F.lit(float(len(critical))), 2))
+
+
 def attributed(values: DataFrame) -> DataFrame:
     """merge() with all sources' values as a map: for the edge of the system, where it's wanted whole."""
     best = F.min(F.struct("prio", "value", "source")).alias("m")

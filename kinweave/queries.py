@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kinweave.operators import shred, units
-from kinweave.plans import domain, relational
+from kinweave.plans import domain, relational, roster
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,8 +34,8 @@ DATA_QUERIES: dict[str, Query] = {"p3_found": p3_found, "p5_found": p5_found, "p
 
 
 def queries() -> dict[str, Query]:
-    return DATA_QUERIES | relational.QUERIES | domain.QUERIES
+    return DATA_QUERIES | relational.QUERIES | domain.QUERIES | roster.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return relational.SQL | domain.SQL
+    return relational.SQL | domain.SQL | roster.SQL

@@ -102,6 +102,18 @@ def squad_source(df: DataFrame) -> DataFrame:
     return df.groupBy("team").agg(F.concat(F.lit("  "), F.col("team"), F.lit(": [\n"), lines, F.lit("\n  ],")).alias("text"))
 
 
+def summary(df: DataFrame, label: str, groups: dict[str, Column]) -> DataFrame:
+    """(section, key, n): the number of rows under the label, and the counts by each group's values; one pass for every group."""
+    every = F.array(F.struct(F.lit("rows").alias("section"), F.lit(label).alias("key")), *[F.struct(F.lit(g).alias("section"), c.cast("string").alias("key")) for g, c in groups.items()])
+    return df.select(F.explode(every).alias("s")).groupBy("s.section", "s.key").agg(F.count("*").alias("n"))
+
+
+def speaks_of(text: Column, words: tuple[str, ...]) -> Column:
+    """Whether a text contains one of the words, case ignored; a missing text doesn't."""
+    low = F.lower(text)
+    return F.coalesce(F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w)), F.lit(False))
+
+
 def write_if_any(df: DataFrame, path: str, kind: str = "csv") -> bool:
     """Writes unless df is empty."""
     if df.isEmpty():
