@@ -3,7 +3,8 @@
 The n-grams of the evaluation items are looked up in every document in one pass; how many documents hold each is counted
 over the whole corpus. For every window of an item as long as the shortest leak, its rarest n-gram becomes a seed: a
 document that holds the window holds the seed. Seeds join documents to items; each joined pair is aligned word by word
-(Smith-Waterman), which scores edited copies, and the longest verbatim run is measured exactly.
+(Smith-Waterman), which decides on edited copies by the share of the item they keep, and the longest verbatim run is
+measured exactly. Texts are folded by built-in functions; Python gets folded words.
 """
 
 from __future__ import annotations
@@ -17,21 +18,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinweave.llm.lookalike import caseless
+from kinweave.llm.lookalike import caseless, caselessly, easy
 from kinweave.storage import materialize
 
 #: Words in a seed, and consecutive words that make a leak.
 GRAM, RUN = 5, 13
+#: The share of the best possible alignment with an item from which an edited copy counts as leaked.
+SHARE = 0.5
 #: Items held by each task at once; more items than this are taken in blocks, each against all documents.
 ITEM_BLOCK = 20_000
 _WORD = re.compile(r"[^\W_](?:[^\W_]|[\u0300-\u036f])*")
 
 
-def words(text: str | None) -> list[str]:
-    """Runs of letters and digits, without regard to case, encoding and look-alikes."""
-    if not text:
-        return []
-    return _WORD.findall(caseless(text))
+def words(text: str | None, folded: str | None = None) -> list[str]:
+    """Runs of letters and digits, without regard to case, encoding and look-alikes; of a text that is folded already as it is."""
+    if folded is not None:
+        return _WORD.findall(folded)
+    return _WORD.findall(caseless(text)) if text else []
+
+
+def _texts(docs: DataFrame, doc_key: str, text: str) -> DataFrame:
+    """(k, t, f): the text itself where only Python folds it right, else the folded one."""
+    simple = easy(F.col(text))
+    return docs.where(F.col(text).isNotNull()).select(F.col(doc_key).alias("k"), F.when(~simple, F.col(text)).alias("t"), F.when(simple, caselessly(F.col(text))).alias("f"))
 
 
 class Items:
@@ -56,9 +65,9 @@ class Items:
             h ^= h >> np.uint64(29)
         return h.view(np.int64)
 
-    def numbers(self, text: str | None) -> np.ndarray:
+    def numbers(self, text: str | None, folded: str | None = None) -> np.ndarray:
         get = self.ids.get
-        return np.array([get(w, -1) for w in words(text)], dtype=np.int64)
+        return np.array([get(w, -1) for w in words(text, folded)], dtype=np.int64)
 
     def hits(self, ids: np.ndarray) -> np.ndarray:
         """Indexes of the distinct item n-grams among these words."""
@@ -114,14 +123,14 @@ def _block(spark, docs: DataFrame, items: Items, doc_key: str, item_key: str, te
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, grams = [], []
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = items.hits(items.numbers(t))
+            for k, t, f in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = items.hits(items.numbers(t, f))
                 keys.extend([k] * len(found))
                 grams.extend(found.tolist())
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(keys, kind), pa.array(grams, pa.int64())], names=["k", "g"])
 
-    hits = materialize(docs.select(doc_key, text).where(F.col(text).isNotNull()).mapInArrow(look, T.StructType([T.StructField("k", key.dataType), T.StructField("g", T.LongType())])), "hits")
+    hits = materialize(_texts(docs, doc_key, text).mapInArrow(look, T.StructType([T.StructField("k", key.dataType), T.StructField("g", T.LongType())])), "hits")
     # one count for each n-gram of a bounded block of items
     counts = np.zeros(len(items.grams), dtype=np.int64)
     for r in hits.groupBy("g").count().toLocalIterator():
@@ -135,24 +144,30 @@ def _block(spark, docs: DataFrame, items: Items, doc_key: str, item_key: str, te
             if len(window):
                 seeds.add((int(window[np.lexsort((window, counts[window]))[0]]), n))
     joined = hits.join(spark.createDataFrame(sorted(seeds) or [], "g long, n int"), "g").groupBy("k").agg(F.collect_set("n").alias("ns"))
-    chosen = docs.select(F.col(doc_key).alias("k"), F.col(text).alias("t")).join(joined, "k")
+    # one row a document and item, so that a document that meets many items isn't one task's burden
+    pairs = joined.select("k", F.explode("ns").alias("n"))
+    chosen = _texts(docs, doc_key, text).join(pairs, "k").repartition("k", "n")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for k, t, ns in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                doc = items.numbers(t)
-                for n in ns:
-                    item, seq = items.items[n]
-                    best, longest = align(doc, seq)
-                    out.append((k, item, longest, best, best / (2 * len(seq))))
+            for k, t, f, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                item, seq = items.items[n]
+                best, longest = align(items.numbers(t, f), seq)
+                out.append((k, item, longest, best, best / (2 * len(seq))))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*out), (kind, pa.int64(), pa.int32(), pa.int32(), pa.float64()), strict=True)], names=[doc_key, item_key, "run", "score", "share"])
 
     schema = T.StructType([T.StructField(doc_key, key.dataType), T.StructField(item_key, T.LongType()), T.StructField("run", T.IntegerType()), T.StructField("score", T.IntegerType()), T.StructField("share", T.DoubleType())])
-    return chosen.select("k", "t", "ns").mapInArrow(score, schema).distinct()
+    return chosen.select("k", "t", "f", "n").mapInArrow(score, schema).distinct()
 
 
 def found(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id): documents that hold at least 13 consecutive words of an item."""
     return leaks(docs, items).where(F.col("run") >= RUN).select("doc_id", F.col("item_id").cast("int").alias("item_id")).distinct()
+
+
+def leaked(docs: DataFrame, items: DataFrame, share: float = SHARE, **how) -> DataFrame:
+    """leaks() that count: a verbatim run of RUN words or more, or an edited copy that keeps at least `share` of the item's
+    alignment score. A copy in which no five consecutive words of the item are left has no seed and isn't found."""
+    return leaks(docs, items, **how).where((F.col("run") >= RUN) | (F.col("share") >= share))

@@ -68,8 +68,8 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_alignments(spark: SparkSession, d: str) -> DataFrame:
-    """Every document and item that share a seed, with the alignment's score: edited copies too."""
-    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    """Every leak, verbatim or edited, with the alignment's score and the share of the item it keeps."""
+    return leakage.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
 def p9_selection(spark: SparkSession, d: str) -> DataFrame:
@@ -84,13 +84,18 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.pairs(table(spark, d, "documents"))
 
 
+def p10_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every document that looks like another, with its class: the pairs' short form, exact copies too."""
+    return lookalike.classes(table(spark, d, "documents"))
+
+
 def p10_texts(spark: SparkSession, d: str) -> DataFrame:
     """Every document's text in one consistent form."""
     return lookalike.canonical(table(spark, d, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    own = (p1_found, p1_records, p2_found, p2_links, p2_unlinked, p4_found, p6_found, p6_unmatched, p7_found, p7_confidence, p8_found, p8_alignments, p9_selection, p9_shares, p10_found, p10_texts)
+    own = (p1_found, p1_records, p2_found, p2_links, p2_unlinked, p4_found, p6_found, p6_unmatched, p7_found, p7_confidence, p8_found, p8_alignments, p9_selection, p9_shares, p10_found, p10_classes, p10_texts)
     return {f.__name__: f for f in own}
 
 
