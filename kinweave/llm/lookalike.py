@@ -42,6 +42,8 @@ SHAPES = CYRILLIC | GREEK | ARMENIAN | {"ɑ": "a", "ɡ": "g", "ɩ": "i", "‐":
 _FOREIGN = r"[\p{IsCyrillic}\p{IsGreek}\p{IsArmenian}]"
 #: Characters that can't be seen: removed, so that they part no token.
 INVISIBLE = r"[\p{Cf}͏ᅟᅠ឴឵᠋-᠏ㅤ︀-️ﾠ]"
+#: A Latin letter beside one of another script.
+_BESIDE = rf"\p{{IsLatin}}\p{{M}}*{_FOREIGN}|{_FOREIGN}\p{{M}}*\p{{IsLatin}}"
 #: A run of letters in which a Latin letter stands beside one of another script.
 MIXED = rf"[\p{{L}}\p{{M}}]*(?:\p{{IsLatin}}\p{{M}}*{_FOREIGN}|{_FOREIGN}\p{{M}}*\p{{IsLatin}})[\p{{L}}\p{{M}}]*"
 
@@ -264,16 +266,16 @@ def forms(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     token are joined with repairs, and the vocabulary is reduced to its words before it is shuffled.
     """
     plain = cleaned(F.col(text))
-    tokens = docs.where(F.col(text).rlike(_FOREIGN)).select(key, F.explode(F.array_distinct(F.regexp_extract_all(plain, F.lit(MIXED), F.lit(0)))).alias("token"))
+    tokens = docs.where(F.col(text).rlike(_FOREIGN)).where(plain.rlike(_BESIDE)).select(key, F.explode(F.array_distinct(F.regexp_extract_all(plain, F.lit(MIXED), F.lit(0)))).alias("token"))
     mixed = materialize(tokens, "mixed")
     options = mixed.select("token").distinct().select("token", F.pandas_udf(_candidate, "string")("token").alias("word")).where("word is not null")
     options = materialize(options, "options")
     words = docs.select(F.explode(F.split(F.col(text), r"[^\p{L}\p{M}]+")).alias("word")).distinct()
     known = words.join(options.select("word").distinct(), "word", "left_semi")
     repairs = mixed.join(options.join(known, "word"), "token").groupBy(key).agg(F.collect_set(F.struct("token", "word")).alias("_repairs"))
-    joined = docs.select(key, text).join(repairs, key, "left")
-    hard = F.col("_repairs").isNotNull() | holds_any(F.col(text), _one_to_one()[2])
-    made = joined.select(key, F.when(hard, F.lit(None)).otherwise(plain).alias("_plain"), F.pandas_udf(_forms, "text string, look string")(F.when(hard, F.col(text)), F.col("_repairs")).alias("_f"))
+    rows = docs.select(key, text, holds_any(F.col(text), _one_to_one()[2]).alias("_odd"))
+    joined = rows.join(repairs, key, "left").select(key, text, "_repairs", (F.col("_odd") | F.col("_repairs").isNotNull()).alias("_hard"))
+    made = joined.select(key, F.when(~F.col("_hard"), plain).alias("_plain"), F.pandas_udf(_forms, "text string, look string")(F.when(F.col("_hard"), F.col(text)), F.col("_repairs")).alias("_f"))
     return made.select(key, F.coalesce("_f.text", "_plain").alias(text), F.coalesce("_f.look", shaped(F.col("_plain"))).alias("look"))
 
 
