@@ -1,26 +1,27 @@
 """Freely typed values mapped to the closest entry of a reference list.
 
 The forms of the entries stand in a BK-tree under the Levenshtein distance, a true metric: the triangle inequality prunes
-the search and still every form within the radius is found. The list is held in shards of bounded size; each shard gives
-its own winner and the winners are merged, so a list of any length works. Values are mapped where they stand, each distinct
-one once per worker: no shuffle, and a value that a third of all rows hold costs nothing more.
+the search and still every form within the radius is found. The list is held in shards of bounded size, one at a time;
+each shard gives its own winner and the winners are merged, so a list of any length works. Only different values are mapped,
+each once, and joined back to their rows.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinweave.storage import materialize
+
 #: Entries of the list that one tree holds.
 SHARD = 20_000
-#: Values that a worker remembers.
-MEMO = 200_000
 
 # Typed short forms of the generic words of club names.
 SHORT = {
@@ -108,6 +109,7 @@ class Index:
 
     entries: list[tuple[str, str]]
     forms: Callable[[str], list[str]]
+    reach: Callable[[str], int] = radius
     exact: dict[str, set[str]] = field(default_factory=dict)
     tree: BKTree = field(default_factory=BKTree)
 
@@ -126,7 +128,7 @@ class Index:
                 return 0, min(keys) if len(keys) == 1 else None
         hits: dict[int, set[str]] = {}
         for form in typed:
-            for d, _, keys in self.tree.within(form, radius(form)):
+            for d, _, keys in self.tree.within(form, self.reach(form)):
                 hits.setdefault(d, set()).update(keys)
         if not hits:
             return 99, None
@@ -187,79 +189,79 @@ def typed_country_forms(text: str) -> list[str]:
     return out
 
 
-def mapper(values: Column, shards: list[Index], typed: Callable[[str], list[str]]) -> Column:
-    """The key of the nearest entry, or null: nothing in reach, or several keys equally near. Nulls stay null."""
-
-    def one(shard: Index) -> Column:
-        memo: dict[str, dict] = {}
+def _search(shard: Index, typed: Callable[[str], list[str]]) -> Callable[[pd.Series], pd.DataFrame]:
+    def look(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([shard.best(typed(t)) for t in texts], columns=["d", "k"])
 
-        def look(texts: pd.Series) -> pd.DataFrame:
-            rows = []
-            for t in texts:
-                if t is None:
-                    rows.append((99, None))
-                    continue
-                got = memo.get(t)
-                if got is None:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    got = memo[t] = shard.best(typed(t))
-                rows.append(got)
-            return pd.DataFrame(rows, columns=["d", "k"])
+    return look
 
-        return F.pandas_udf(look, "d int, k string")(values)
 
-    found = [one(s) for s in shards]
-    if len(found) == 1:
-        return found[0]["k"]
-    near = F.least(*[f["d"] for f in found])
-    keys = F.array_distinct(F.filter(F.array(*[F.when(f["d"] == near, F.coalesce(f["k"], F.lit("\0"))) for f in found]), lambda k: k.isNotNull()))
-    return F.when((near < 99) & (F.size(keys) == 1) & (keys[0] != "\0"), keys[0])
+def nearest(values: DataFrame, entries: DataFrame, value: str, key: str, forms: Callable[[str], list[str]], typed: Callable[[str], list[str]], reach: Callable[[str], int] = radius, size: int = SHARD) -> DataFrame:
+    """(value, key, tied) of distinct values(value): the key of the nearest entry, null where none is in reach or, tied, where
+    entries of several keys are equally near.
 
-
-def shards(entries: DataFrame, value: str, key: str, forms: Callable[[str], list[str]], size: int = SHARD) -> list[Index]:
-    """The reference list as trees of at most about `size` entries each. Null values or keys are no entries."""
+    The list is read in shards of about `size` entries; each goes once against all values, so that neither the driver nor a
+    task ever holds more than one tree. Null values and null entries are left out. `reach` says how many edits a form allows.
+    """
     rows = entries.select(F.col(value).cast("string").alias("v"), F.col(key).cast("string").alias("k")).where("v is not null and k is not null").distinct()
     n = -(-rows.count() // size) or 1
-    return [Index([(r["v"], r["k"]) for r in rows.where(F.pmod(F.xxhash64("v"), F.lit(n)) == i).sort("v", "k").collect()], forms) for i in range(n)]
-
-
-def club_index(clubs: DataFrame) -> tuple[list[Index], Callable[[str], list[str]]]:
-    """Trees of the clubs. The place of a name is its word that stands beside the fewest others (the longest among equals);
-    a word is generic if it is seldom a place. Both are counted over the list."""
+    parts = []
+    for i in range(n):
+        shard = Index([(r["v"], r["k"]) for r in rows.where(F.pmod(F.xxhash64("v"), F.lit(n)) == i).sort("v", "k").collect()], forms, reach)
+        hit = values.where("value is not null").select("value", F.pandas_udf(_search(shard, typed), "d int, k string")("value").alias("h")).select("value", "h.d", "h.k")
+        parts.append(materialize(hit, "nearest") if n > 1 else hit)
+    hits = reduce(DataFrame.unionByName, parts)
+    if n > 1:
+        top = hits.groupBy("value").agg(F.min("d").alias("d"))
+        hits = hits.join(top, ["value", "d"]).groupBy("value", "d").agg(F.when((F.count_if(F.col("k").isNull()) == 0) & (F.min("k") == F.max("k")), F.min("k")).alias("k"))
+    return hits.select("value", "k", (F.col("k").isNull() & (F.col("d") < 99)).alias("tied"))
+
+
+def club_rules(clubs: DataFrame) -> tuple[Callable[[str], list[str]], Callable[[str], list[str]]]:
+    """How entries and typed values of a list of clubs are brought to the same form. The place of a name is its word that stands
+    beside the fewest others (the longest among equals); a word is generic if it is seldom a place. Both are counted over the
+    list, in time and memory of its words."""
     names = sorted({fold(r["name"]) for r in clubs.where("name is not null").select("name").distinct().toLocalIterator()})
     beside: dict[str, set[str]] = {}
+    times: Counter[str] = Counter()
     for n in names:
-        for w in n.split():
-            beside.setdefault(w, set()).update(x for x in n.split() if x != w)
-    place = {n: min(n.split(), key=lambda w: (len(beside[w]), -len(w), w)) for n in names if n}
-    times = {w: sum(w in n.split() for n in names) for w in beside}
-    as_place = {w: sum(p == w for p in place.values()) for w in beside}
+        words = set(n.split())
+        times.update(words)
+        for w in words:
+            beside.setdefault(w, set()).update(words - {w})
+    as_place = Counter(min(n.split(), key=lambda w: (len(beside[w]), -len(w), w)) for n in names if n)
     generic = frozenset(w for w in beside if 2 * as_place[w] < times[w]) | frozenset(x for s in SHORT.values() for x in s.split())
-    stems: dict[str, int] = {}
+    stems: Counter[str] = Counter()
     for w in beside:
         if w not in generic:
-            stems[stem(w)] = stems.get(stem(w), 0) + times[w]
+            stems[stem(w)] += times[w]
     lone = frozenset(w for w, n in stems.items() if n == 1)
-    return shards(clubs, "name", "club_id", club_forms(generic, lone, True)), club_forms(generic, lone, False)
+    return club_forms(generic, lone, True), club_forms(generic, lone, False)
+
+
+def country_entries(team_map: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, [team_map.select(F.col(c).alias("v"), F.col("team_code").alias("k")) for c in ("nationality_value", "team_name", "team_code")])
 
 
-def country_index(team_map: DataFrame) -> tuple[list[Index], Callable[[str], list[str]]]:
-    names = reduce(DataFrame.unionByName, [team_map.select(F.col(c).alias("v"), F.col("team_code").alias("k")) for c in ("nationality_value", "team_name", "team_code")])
-    return shards(names, "v", "k", country_forms), typed_country_forms
+#: The typed columns and the list each belongs to.
+FIELDS = {"tm_club": "club", "apif_club": "club", "nationality": "country"}
 
 
 def mapped(pairs: DataFrame, clubs: DataFrame, team_map: DataFrame) -> DataFrame:
-    """(tm_id, apif_id, field, value, ref_key): every typed club and nationality that isn't an entry as it stands, with the
+    """(tm_id, apif_id, field, value, ref_key, tied): every typed club and nationality that isn't an entry as it stands, with the
     key of its entry or NONE. Null and blank values give no row; repeated rows one."""
-    club_shards, club_typed = club_index(clubs)
-    country_shards, country_typed = country_index(team_map)
-    out = []
-    for name, reference, column, trees, typed in (("tm_club", clubs, "name", club_shards, club_typed), ("apif_club", clubs, "name", club_shards, club_typed), ("nationality", team_map, "nationality_value", country_shards, country_typed)):
-        rows = pairs.select("tm_id", "apif_id", F.lit(name).alias("field"), F.col(name).alias("value")).where(r"value rlike '\\S'")
-        rows = rows.join(reference.select(F.col(column).alias("value")).distinct(), "value", "left_anti")
-        out.append(rows.select("tm_id", "apif_id", "field", "value", F.coalesce(mapper(F.col("value"), trees, typed), F.lit("NONE")).alias("ref_key")))
-    return reduce(DataFrame.unionByName, out).distinct()
+    typed = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(kind).alias("kind"), F.col(f).alias("value")) for f, kind in FIELDS.items()])
+    rows = pairs.select("tm_id", "apif_id", F.explode(typed).alias("t")).select("tm_id", "apif_id", "t.*").where(F.col("value").rlike(r"\S"))
+    exact = clubs.select(F.lit("club").alias("kind"), F.col("name").alias("value")).unionByName(team_map.select(F.lit("country").alias("kind"), F.col("nationality_value").alias("value"))).distinct()
+    rows = rows.join(exact, ["kind", "value"], "left_anti")
+    values = materialize(rows.select("kind", "value").distinct(), "values")
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, much work: a fixed number isn't coalesced
+    of = lambda kind: values.where(F.col("kind") == kind).select("value").repartition(n, "value")
+    club_entry, club_typed = club_rules(clubs)
+    found = nearest(of("club"), clubs, "name", "club_id", club_entry, club_typed).withColumn("kind", F.lit("club"))
+    found = found.unionByName(nearest(of("country"), country_entries(team_map), "v", "k", country_forms, typed_country_forms).withColumn("kind", F.lit("country")))
+    keyed = rows.join(materialize(found, "mapped"), ["kind", "value"])
+    return keyed.select("tm_id", "apif_id", "field", "value", F.coalesce("k", F.lit("NONE")).alias("ref_key"), "tied").distinct()
 
 
 def found(pairs: DataFrame, clubs: DataFrame, team_map: DataFrame) -> DataFrame:

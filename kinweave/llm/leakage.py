@@ -37,10 +37,10 @@ def words(text: str | None, folded: str | None = None) -> list[str]:
     return _WORD.findall(caseless(text)) if text else []
 
 
-def _texts(docs: DataFrame, doc_key: str, text: str) -> DataFrame:
-    """(k, t, f): the text itself where only Python folds it right, else the folded one."""
+def _texts(docs: DataFrame, doc_key: str, text: str, *more: str) -> DataFrame:
+    """(k, more..., t, f): the text itself where only Python folds it right, else the folded one."""
     simple = easy(F.col(text))
-    return docs.where(F.col(text).isNotNull()).select(F.col(doc_key).alias("k"), F.when(~simple, F.col(text)).alias("t"), F.when(simple, caselessly(F.col(text))).alias("f"))
+    return docs.where(F.col(text).isNotNull()).select(F.col(doc_key).alias("k"), *more, F.when(~simple, F.col(text)).alias("t"), F.when(simple, caselessly(F.col(text))).alias("f"))
 
 
 class Items:
@@ -146,7 +146,8 @@ def _block(spark, docs: DataFrame, items: Items, doc_key: str, item_key: str, te
     joined = hits.join(spark.createDataFrame(sorted(seeds) or [], "g long, n int"), "g").groupBy("k").agg(F.collect_set("n").alias("ns"))
     # one row a document and item, so that a document that meets many items isn't one task's burden
     pairs = joined.select("k", F.explode("ns").alias("n"))
-    chosen = _texts(docs, doc_key, text).join(pairs, "k").repartition("k", "n")
+    met = docs.select(F.col(doc_key).alias("k"), F.col(text).alias("_text")).join(pairs, "k").repartition("k", "n")
+    chosen = _texts(met, "k", "_text", "n")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

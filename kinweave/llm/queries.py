@@ -50,9 +50,9 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_unmatched(spark: SparkSession, d: str) -> DataFrame:
-    """The typed values that belong to no entry, with how many rows hold each."""
+    """The typed values that belong to no entry, with how many rows hold each, and whether several entries were equally near."""
     rows = canonical.mapped(table(spark, d, "dedup_pairs"), table(spark, d, "clubs"), table(spark, d, "wc_2026_team_map"))
-    return rows.where("ref_key = 'NONE'").groupBy("field", "value").count().withColumnRenamed("count", "n")
+    return rows.where("ref_key = 'NONE'").groupBy("field", "value", "tied").count().withColumnRenamed("count", "n")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

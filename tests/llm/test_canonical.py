@@ -3,7 +3,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from kinweave.llm.canonical import BKTree, Pattern, fold, found, mapped, shards
+from kinweave.llm.canonical import BKTree, Pattern, fold, found, mapped, nearest
 
 CLUBS = ["AS Nissomeac", "Olympique Nissomeac", "FK Linelstad", "1. FC Bunalebrück", "FC Bunalebrück", "VfL Bunalebrück", "Sporting de Rosivaado", "Sporting de Donavales", "Bameladağspor", "Gunoldeton Town", "FK Diggildbø", "AS Yemedssi", "VfL Lesserningen", "Olympique Butameeuil", "Gunoldston Lions"]
 TEAMS = [("Costa Lumbre", "CLU", "Costa Lumbre"), ("Republic of Costa Lumbre", "CLU", "Costa Lumbre"), ("Île-Tonnelle", "ITO", "Tonnelle Island"), ("Velichka", "VLK", "Velichka")]
@@ -64,18 +64,23 @@ def test_exact_blank_null_and_repeated_values(spark):
 
 
 def test_shards_agree_with_one_tree(spark):
-    from pyspark.sql import functions as F
-
-    from kinweave.llm.canonical import mapper
-
     rng = random.Random(2)
     entries = ["".join(rng.choices("abcde", k=8)) for _ in range(60)]
     df = spark.createDataFrame([(e, str(i)) for i, e in enumerate(entries)], "v string, k string")
     forms = lambda t: [fold(t)]
-    typed = spark.createDataFrame([(e[:3] + "z" + e[4:],) for e in entries] + [(None,), ("",)], "t string")
-    one = typed.select("t", mapper(F.col("t"), shards(df, "v", "k", forms), forms).alias("k"))
-    many = typed.select("t", mapper(F.col("t"), shards(df, "v", "k", forms, size=15), forms).alias("k"))
+    typed = spark.createDataFrame([(e[:3] + "z" + e[4:],) for e in entries] + [(None,), ("",)], "value string")
+    one, many = nearest(typed, df, "v", "k", forms, forms), nearest(typed, df, "v", "k", forms, forms, size=15)
     assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, many.collect()), key=str)
+    assert one.where("k is not null").count() > 0
+
+
+def test_ties_are_told_and_the_reach_is_a_parameter(spark):
+    df = spark.createDataFrame([("abcdefgh", "1"), ("abcdefgk", "2")], "v string, k string")
+    forms = lambda t: [fold(t)]
+    typed = spark.createDataFrame([("abcdefgz",), ("abcdzfgh",), ("abczzzgh",)], "value string")
+    for size in (20, 1):
+        assert sorted(map(tuple, nearest(typed, df, "v", "k", forms, forms, size=size).collect())) == [("abcdefgz", None, True), ("abcdzfgh", "1", False), ("abczzzgh", None, False)]
+    assert {tuple(r) for r in nearest(typed, df, "v", "k", forms, forms, reach=lambda t: 3).collect()} >= {("abczzzgh", "1", False)}
 
 
 def test_empty(spark):
