@@ -234,8 +234,8 @@ def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None
     """(t, a, rule): matched records of the first and the second source, at most one partner each, and the strongest rule
     that matched them.
 
-    A record that several keys of one pass lead to different partners goes to the partner most rules lead to, and to none
-    if that is not mutual. The first pass needs no further agreement where one record of each source holds a key; of
+    A record that several keys of one pass lead to different partners goes to the partner of the strongest rule, as if each rule
+    were a pass of its own; of partners by the same rule to the one that more rules lead to, and to none if that is not mutual. The first pass needs no further agreement where one record of each source holds a key; of
     several holders those match who are each other's only agreeing one.
     """
     passes = PASSES if passes is None else passes
@@ -263,8 +263,8 @@ def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None
             else:
                 met = met.where("same")
             fit = met.groupBy("t", "a").agg(F.min("rule").alias("rule"), F.max("n").alias("n"))
-        # votes, rule and partner as one number each way: aggregated by hash, without sorting
-        rank = F.col("n") * 128 - F.col("rule")
+        # the strongest rule first, then how many rules agree, as one number: aggregated by hash, without sorting
+        rank = F.col("n") - F.col("rule") * 128
         of_t = fit.groupBy("t").agg(F.max(rank).alias("best"))
         of_a = fit.groupBy("a").agg(F.max(rank).alias("best"))
         top = fit.withColumn("rank", rank).join(of_t, "t").where("rank = best").drop("best").join(of_a, "a").where("rank = best")

@@ -1,20 +1,20 @@
 """Sources combined to target shares of all tokens, each document used at most a capped number of times.
 
 Documents are counted by source and exact token length. On these counts, not on documents, a source's budget is filled:
-whole passes over the source first, then an even part of every length, then the rest exactly by a bounded knapsack
-(subset sums held as bits of one number). Documents are drawn by seeded hash, as many of each length as the fit says.
+whole passes over the source first, then every length's part by largest remainders, then the rest exactly by a bounded
+knapsack (subset sums held as bits of one number). Documents are drawn by seeded hash, as many of each length as the fit says.
 """
 
 from __future__ import annotations
 
 import base64
-import importlib.util
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +23,8 @@ from kinweave.storage import materialize
 
 #: Where the public tokenizers' vocabulary files are.
 TOKENIZERS = os.environ.get("KINWEAVE_TOKENIZERS", "/opt/tokenizers")
+# Fixed value: the pattern that parts text before the merges of the rank files.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Documents of one length and source that one task ranks.
 RANKED = 10_000
 #: Bits of the knapsack: the tokens that are left to it once every length has given its even part.
@@ -30,24 +32,23 @@ KNAPSACK = 1 << 18
 
 
 @lru_cache(maxsize=2)
-def _encoding(folder: str, name: str):
+def _encoding(name: str):
+    """The tokenizer of a rank file that was sent to every executor."""
     import tiktoken
 
-    spec = importlib.util.spec_from_file_location("_public_tokenizers", f"{folder}/__init__.py")
-    module = importlib.util.module_from_spec(spec)
-    spec.loader.exec_module(module)
-    with open(f"{folder}/{name}", "rb") as f:
+    with open(SparkFiles.get(name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(name, pat_str=module.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", folder: str = TOKENIZERS, name: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """(key, source, tokens): whole texts counted with a public tokenizer; null and empty texts have 0. Sources are trimmed and in lower case."""
+    docs.sparkSession.sparkContext.addFile(f"{folder}/{name}")
     field = docs.select(key).schema[0]
     kind = pa.int64() if isinstance(field.dataType, T.LongType) else pa.string()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(folder, name).encode_ordinary
+        encode = _encoding(name).encode_ordinary
         for batch in batches:
             counts = [len(encode(t)) if t else 0 for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(kind), batch.column(1), pa.array(counts, pa.int64())], names=[key, "source", "tokens"])
@@ -85,14 +86,19 @@ def knapsack(counts: dict[int, int], budget: int) -> dict[int, int]:
 
 
 def fit(counts: dict[int, int], budget: int, limit: int = KNAPSACK) -> dict[int, int]:
-    """How many documents of each length come nearest to the budget: an even part of each length, the rest by knapsack()."""
+    """How many documents of each length come nearest to the budget: each length's part of it, rounded down, then one more for the
+    lengths of the largest remainders while more than `limit` tokens are left, the rest by knapsack(). Equal remainders are
+    taken in an order that has nothing to do with length, so that no lengths are preferred."""
     available = sum(s * m for s, m in counts.items())
     if budget >= available:
         return dict(counts)
     taken = {s: m * budget // available for s, m in counts.items()}
     rest = budget - sum(s * m for s, m in taken.items())
-    for s in sorted(counts, reverse=True):  # a long tail of lengths leaves much: one more of the longest while it's too much
-        while rest > limit and s <= rest and taken[s] < counts[s]:
+    mixed = lambda s: (s * 0x9E3779B97F4A7C15 + 0x7F4A7C15) % (1 << 64) >> 20
+    for s in sorted(counts, key=lambda s: (-(counts[s] * budget % available), mixed(s))):  # many lengths of few documents leave much
+        if rest <= limit:
+            break
+        if s <= rest and taken[s] < counts[s]:
             taken[s] += 1
             rest -= s
     for s, m in knapsack({s: counts[s] - taken[s] for s in counts}, rest).items():

@@ -33,6 +33,16 @@ def test_fit_hits_the_budget():
     assert total(big) == available // 3
 
 
+def test_no_lengths_are_preferred():
+    """Many lengths of one document each, more left over than the knapsack takes: short and long ones are chosen alike."""
+    counts = {s: 1 for s in range(200, 4_000)}
+    taken = fit(counts, total(counts) // 2)
+    assert total(taken) == total(counts) // 2
+    for low in range(200, 4_000, 950):
+        part = [taken.get(s, 0) for s in range(low, min(low + 950, 4_000))]
+        assert 0.4 < sum(part) / len(part) < 0.6
+
+
 def test_budgets():
     got = budgets({"a": 100, "b": 50}, {"a": Target(0.5, 1), "b": Target(0.5, 4)})
     assert got == {"a": 100, "b": 100}
