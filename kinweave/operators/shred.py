@@ -19,7 +19,7 @@ _NODE = [("field", T.StringType()), ("node", T.StringType()), ("parent", T.Strin
 
 def unwrap(value):
     """The value behind JSON text of JSON text; text that isn't an array or object stays text."""
-    for _ in range(8):
+    while True:  # each step shortens the text
         if not isinstance(value, str) or value.lstrip()[:1] not in ("[", "{", '"'):
             return value
         try:
@@ -29,7 +29,6 @@ def unwrap(value):
         if not isinstance(inner, (dict, list, str)):
             return value
         value = inner
-    return value
 
 
 def nodes(text: str) -> Iterator[tuple[str, str | None, str | None, int, str, str | None]]:
@@ -105,19 +104,36 @@ def shred(df: DataFrame, key: str, columns: Iterable[str], kinds: tuple[str, ...
     return df.select(F.col(key), *[F.col(c).cast("string") for c in columns]).mapInArrow(run, schema)
 
 
-def entity(adjacency: DataFrame, key: str, field: str, label: str | None, columns: Iterable[str]) -> DataFrame:
-    """(key, node, parent, columns...): the flat table of the objects called `label` (None: the top ones) below `field`,
-    one text column for each wanted scalar property, null where an object lacks it."""
-    a = adjacency.where(F.col("field") == field)
+def entities(adjacency: DataFrame, key: str) -> DataFrame:
+    """(key, field, node, parent, label, ordinal, scalars): every object at any depth with its scalar properties as a map.
+
+    Object nodes meet their scalar children in one aggregation by node, a child standing under its parent's node: a join
+    without a second reading of the table. A label that an object holds twice keeps its greatest value. Objects without
+    scalars have an empty map; children of arrays' positions belong to no object.
+    """
+    is_object = F.col("kind") == "object"
+    of = F.when(is_object, F.col("node")).when((F.col("kind") == "scalar") & F.col("label").isNotNull(), F.col("parent"))
+    own = F.struct("parent", "label", "ordinal")
+    met = adjacency.select(key, "field", of.alias("node"), F.when(is_object, own).alias("o"), F.when(~is_object, F.struct("label", "scalar")).alias("s")).where("node is not null")
+    got = met.groupBy(key, "field", "node").agg(F.max("o").alias("o"), F.array_sort(F.collect_set("s")).alias("s")).where("o is not null")
+    scalars = F.aggregate("s", F.create_map().cast("map<string,string>"), lambda m, x: F.map_concat(F.map_filter(m, lambda k, _: k != x["label"]), F.map_from_arrays(F.array(x["label"]), F.array(x["scalar"]))))
+    return got.select(key, "field", "node", "o.parent", "o.label", "o.ordinal", scalars.alias("scalars"))
+
+
+def entity(objects: DataFrame, key: str, field: str, label: str | None, columns: Iterable[str]) -> DataFrame:
+    """(key, node, parent, columns...): the flat table of the objects called `label` (None: the top ones) below `field`, from
+    entities(): one text column for each wanted scalar property, null where an object lacks it."""
     named = F.col("label").isNull() & F.col("parent").isNull() if label is None else F.col("label") == label
-    objects = a.where((F.col("kind") == "object") & named).select(key, "node", "parent")
-    children = a.where((F.col("kind") == "scalar") & F.col("parent").isNotNull() & F.col("label").isin(list(columns))).select(key, F.col("parent").alias("node"), "label", "scalar")
-    joined = objects.join(children, [key, "node"], "left")
-    return joined.groupBy(key, "node", "parent").agg(*[F.max(F.when(F.col("label") == c, F.col("scalar"))).alias(c) for c in columns])
+    return objects.where((F.col("field") == field) & named).select(key, "node", "parent", *[F.col("scalars")[c].alias(c) for c in columns])
+
+
+def adjacency(career: DataFrame, tournament: DataFrame) -> DataFrame:
+    """The adjacency table of each player's latest rows: one parse of all three JSON columns."""
+    c = shred(latest(career, "player_id", "updated_at", ["career_trajectory"]), "player_id", ["career_trajectory"])
+    t = shred(latest(tournament, "player_id", "updated_at", ["clutch_moments", "previous_wc_appearances"]), "player_id", ["clutch_moments", "previous_wc_appearances"])
+    return c.unionByName(t)
 
 
 def found(career: DataFrame, tournament: DataFrame) -> DataFrame:
-    """(player_id, field, node_path): every JSON object of each player's latest rows."""
-    c = shred(latest(career, "player_id", "updated_at", ["career_trajectory"]), "player_id", ["career_trajectory"], ("object",))
-    t = shred(latest(tournament, "player_id", "updated_at", ["clutch_moments", "previous_wc_appearances"]), "player_id", ["clutch_moments", "previous_wc_appearances"], ("object",))
-    return c.unionByName(t).select("player_id", "field", F.col("node").alias("node_path"))
+    """(player_id, field, node_path): every JSON object of each player's latest rows, from the entity tables."""
+    return entities(adjacency(career, tournament), "player_id").select("player_id", "field", F.col("node").alias("node_path"))

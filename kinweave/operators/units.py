@@ -16,6 +16,8 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from kinweave.storage import materialize
 from pyspark.sql import types as T
 
 # Unit aliases by field. Units of a height are lengths; units of money are scales and currencies.
@@ -197,6 +199,12 @@ def factor_table(spark: SparkSession, field: str, rates: DataFrame | None = None
     return base.crossJoin(per).select("unit", "currency", (F.col("factor") * F.col("rate")).cast("decimal(24,6)").alias("factor"))  # 4 scales x the currencies
 
 
+def _small(factors: DataFrame, most: int = 10_000) -> DataFrame:
+    """The factors, to be broadcast if they are few: nearly all values are in one unit, which a shuffle would put in one task.
+    There are as many as scales times currencies; a longer table is joined as Spark sees fit."""
+    return F.broadcast(factors) if factors.count() <= most else factors
+
+
 def convert_texts(df: DataFrame, keys: Iterable[str], column: str, field: str, rates: DataFrame | None = None) -> DataFrame:
     """(keys..., amount): the quantity each text of `column` states, in whole common units (half up).
 
@@ -209,7 +217,7 @@ def convert_texts(df: DataFrame, keys: Iterable[str], column: str, field: str, r
     factors = factor_table(df.sparkSession, field, rates)
     known = (
         texts.select("_text", F.expr("try_cast(_t.number as decimal(24,6))").alias("_n"), F.col("_t.unit").alias("unit"), F.col("_t.currency").alias("currency"))
-        .join(factors, ["unit", "currency"], "left")
+        .join(_small(factors), ["unit", "currency"], "left")
         .groupBy("_text")
         .agg(F.sum(F.col("_n") * F.col("factor")).alias("_sum"), F.count_if(F.col("factor").isNull()).alias("_unknown"))
         .where("_unknown = 0 and _sum > 0")
@@ -225,7 +233,8 @@ def convert_numbers(df: DataFrame, keys: Iterable[str], column: str, note: str,
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(column).cast("decimal(24,6)").alias("_n"), F.col(note).alias("_note")).where("_n > 0")
-    notes = rows.select("_note").where("_note is not null").distinct().select("_note", _terms(field, True)("_note").alias("_t"))
+    # written, as filters on what a note says would otherwise be pushed to every row and parse each note again
+    notes = materialize(rows.select("_note").where("_note is not null").distinct(), "notes").select("_note", _terms(field, True)("_note").alias("_t"))
     notes = notes.where("size(_t) > 0").select("_note", F.col("_t")[0]["unit"].alias("_unit"), F.col("_t")[0]["currency"].alias("_currency"))
     if field == "height":
         n = F.col("_n")
@@ -235,7 +244,7 @@ def convert_numbers(df: DataFrame, keys: Iterable[str], column: str, note: str,
     else:
         said = rows.join(notes, "_note").select(*keys, "_n", F.col("_unit").alias("unit"), F.col("_currency").alias("currency"))
     factors = factor_table(df.sparkSession, field, rates)
-    return said.where("unit <> 'cm'").join(factors, ["unit", "currency"]).select(*keys, _whole(F.col("_n") * F.col("factor")).alias("amount")).distinct()
+    return said.where("unit <> 'cm'").join(_small(factors), ["unit", "currency"]).select(*keys, _whole(F.col("_n") * F.col("factor")).alias("amount")).distinct()
 
 
 def _whole(x: Column) -> Column:

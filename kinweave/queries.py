@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinweave.operators import shred, units
 from kinweave.plans import domain, relational, roster
@@ -26,11 +27,17 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_seasons(spark: SparkSession, d: str) -> DataFrame:
     """The seasons of every career as a flat table tied to the club they belong to."""
-    rows = shred.latest(table(spark, d, "player_career"), "player_id", "updated_at", ["career_trajectory"])
-    return shred.entity(shred.shred(rows, "player_id", ["career_trajectory"]), "player_id", "career_trajectory", "seasons", ["season"])
+    objects = shred.entities(shred.adjacency(table(spark, d, "player_career"), table(spark, d, "player_tournament")), "player_id")
+    return shred.entity(objects, "player_id", "career_trajectory", "seasons", ["season"])
 
 
-DATA_QUERIES: dict[str, Query] = {"p3_found": p3_found, "p5_found": p5_found, "p5_seasons": p5_seasons}
+def p5_objects(spark: SparkSession, d: str) -> DataFrame:
+    """Every object of the three JSON columns with its scalars as JSON text, tied to its parent: the entity tables in one."""
+    objects = shred.entities(shred.adjacency(table(spark, d, "player_career"), table(spark, d, "player_tournament")), "player_id")
+    return objects.withColumn("scalars", F.to_json("scalars"))
+
+
+DATA_QUERIES: dict[str, Query] = {"p3_found": p3_found, "p5_found": p5_found, "p5_seasons": p5_seasons, "p5_objects": p5_objects}
 
 
 def queries() -> dict[str, Query]:

@@ -55,8 +55,25 @@ def test_found_takes_the_latest_row(spark):
 def test_entity_tables_round_trip(spark):
     value = [{"club": "A", "goals": 3, "seasons": [{"season": "1", "x": None}, {"season": "2"}]}, {"club": "B", "seasons": {"season": "3"}}]
     df = spark.createDataFrame([(7, json.dumps(value))], "player_id long, career string")
-    a = shred.shred(df, "player_id", ["career"]).cache()
+    a = shred.entities(shred.shred(df, "player_id", ["career"]), "player_id").cache()
     tops = {r["node"]: (r["club"], r["goals"]) for r in shred.entity(a, "player_id", "career", None, ["club", "goals"]).collect()}
     assert tops == {"0": ("A", "3"), "1": ("B", None)}
     inner = {(r["parent"], r["node"], r["season"]) for r in shred.entity(a, "player_id", "career", "seasons", ["season"]).collect()}
     assert inner == {("0", "0.seasons.0", "1"), ("0", "0.seasons.1", "2"), ("1", "1.seasons.0", "3")}
+
+
+def test_every_object_with_its_scalars(spark):
+    value = [{"club": "A", "n": 1, "n2": [1, {"deep": {"k": "v"}}]}, "x", {}, None]
+    df = spark.createDataFrame([(7, json.dumps(value)), (8, None), (9, "[")], "player_id long, career string")
+    a = shred.shred(df, "player_id", ["career"])
+    got = {r["node"]: (r["parent"], r["label"], r["ordinal"], r["scalars"]) for r in shred.entities(a, "player_id").collect()}
+    objects = {r["node"] for r in a.where("kind = 'object'").collect()}
+    assert set(got) == objects and got["0"] == (None, None, 0, {"club": "A", "n": "1"}) and got["2"][3] == {}
+    assert got["0.n2.1.deep.0"] == ("0.n2.1", "deep", 0, {"k": "v"})
+
+
+def test_json_text_wrapped_many_times():
+    text = json.dumps([{"a": 1}])
+    for _ in range(12):
+        text = json.dumps(text)
+    assert [n[0] for n in shred.nodes(text) if n[4] == "object"] == ["0"]
