@@ -109,10 +109,10 @@ def entities(adjacency: DataFrame, key: str) -> DataFrame:
 
     Object nodes meet their scalar children in one aggregation by node, a child standing under its parent's node: a join
     without a second reading of the table. A label that an object holds twice keeps its greatest value. Objects without
-    scalars have an empty map; children of arrays' positions belong to no object.
+    scalars have an empty map; scalars in arrays are no property of an object and stay in the adjacency table.
     """
     is_object = F.col("kind") == "object"
-    of = F.when(is_object, F.col("node")).when((F.col("kind") == "scalar") & F.col("label").isNotNull(), F.col("parent"))
+    of = F.when(is_object, F.col("node")).when((F.col("kind") == "scalar") & (F.col("node") == F.concat_ws(".", "parent", "label")), F.col("parent"))
     own = F.struct("parent", "label", "ordinal")
     met = adjacency.select(key, "field", of.alias("node"), F.when(is_object, own).alias("o"), F.when(~is_object, F.struct("label", "scalar")).alias("s")).where("node is not null")
     got = met.groupBy(key, "field", "node").agg(F.max("o").alias("o"), F.array_sort(F.collect_set("s")).alias("s")).where("o is not null")
