@@ -23,6 +23,8 @@ from kinweave.storage import Written, materialize
 PRIOR = (4.0, 1.0)
 #: Bits of a key that hold the rule's number.
 RULE_BITS = 6
+#: Keys of several holders, 8 bytes each, that are broadcast; more are joined by a shuffle.
+FEW_KEYS = 500_000
 #: Letters of a word that counts as a family name beside the longest word of a name.
 LONG = 8
 
@@ -107,6 +109,12 @@ def signatures(players: DataFrame) -> DataFrame:
     return t.select("v", names.alias("names"), short.alias("short"), F.expr("array_distinct(transform(n, x -> x.i))").alias("initials"), "born", "pos", "height", "city", "nation", "club")
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are made once a row: filters on them aren't pushed below, where each would make them again."""
+    made = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_once")
+    return df.select("*", made).select(*df.columns, *[F.col(f"_once.{n}").alias(n) for n in columns])
+
+
 def _head(s: Column) -> Column:
     return F.when(F.length(s) >= 7, F.substring(s, 1, 4))
 
@@ -247,7 +255,9 @@ def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None
         single = held.where("t = t2 and a = a2").select("t", "a", rule_of(F.col("key")).alias("rule"))
         about = remaining.select("v", F.struct("born", "pos", "height", "initials").alias("s"), F.expr("try_element_at(filter(transform(names, x -> x.g), g -> g is not null), 1)").alias("g"))
         # keys of several holders on a side: only those who agree count
-        several = made.join(held.where("t < t2 or a < a2").select("key"), "key", "left_semi").distinct()
+        open_keys = held.where("t < t2 or a < a2").select("key")
+        open_keys = F.broadcast(open_keys) if open_keys.count() <= FEW_KEYS else open_keys  # else the keys are shuffled again
+        several = made.join(open_keys, "key", "left_semi").distinct()
         members = materialize(several.join(about.select("v", "s").distinct(), "v"), f"several{n + 1}")
         single = single.unionByName(only_agreeing(members).select("t", "a", rule_of(F.col("key")).alias("rule")))
         fit = single.groupBy("t", "a").agg(F.min("rule").alias("rule"), F.count("*").cast("int").alias("n"))

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.llm.linkage import _loose, _unaccented, agreeing, plain
+from kinweave.llm.linkage import _loose, _once, _unaccented, agreeing, plain
 from kinweave.storage import Written, materialize
 
 #: Letters of a q-gram; slips (changed, added, dropped or exchanged letters) of a word.
@@ -186,12 +186,6 @@ def soft_similarity(typed: Column, others: Column, unknown: Column, known: Colum
     return got / (total(typed, lambda x: x["w"]) + total(others, weight))
 
 
-def _once(df: DataFrame, **columns: Column) -> DataFrame:
-    """df with columns that are made once a row: filters on them aren't pushed below, where each would make them again."""
-    made = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_once")
-    return df.select("*", made).select(*df.columns, *[F.col(f"_once.{n}").alias(n) for n in columns])
-
-
 def verified(pairs: DataFrame) -> DataFrame:
     """(record_id, player_id, level, similarity): pairs of a record (x) and a reference (y) that can be of one person.
 
