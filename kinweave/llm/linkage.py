@@ -150,20 +150,20 @@ PASSES: list[list[tuple[str, ...]]] = [
 NICKNAMED = ("s", "born", "pos")
 
 
-def keys(signed: DataFrame, rules: list[tuple[str, ...]], first: int) -> DataFrame:
-    """(v, key): the keys that each record makes."""
+def keys(signed: DataFrame, rules: list[tuple[str, ...]], first: int, only: set[int] | None = None) -> DataFrame:
+    """(v, key): the keys that each record makes, by some of the rules' numbers if given."""
     own = [c for c in ("pos", "height", "city", "nation", "club", "short") if any(c in r for r in rules)]
     read = signed.select("v", "born", *own, F.explode_outer("names").alias("n")).select("v", "born", *own, "n.s", "n.i", "n.g")
-    return reading_keys(read, "v", rules, first)
+    return reading_keys(read, "v", rules, first, only)
 
 
-def reading_keys(read: DataFrame, record: str, rules: list[tuple[str, ...]], first: int) -> DataFrame:
+def reading_keys(read: DataFrame, record: str, rules: list[tuple[str, ...]], first: int, only: set[int] | None = None) -> DataFrame:
     """(record, key) of readings (record, s, i, g, born, ...): one key for each rule all of whose parts are known. The low bits of
     a key are the rule's number, first and on; the rest is a hash, which the rows of one rule share by what they agree in."""
     born, wanted = F.col("born"), {p for r in rules for p in r}
     parts = {"head": _head(F.col("s")), "tail": _tail(F.col("s")), "loose": _loose(born), "year": F.year(born), "month": F.month(born), "day": F.month(born) * 100 + F.dayofmonth(born)}
     read = read.select("*", *[c.alias(n) for n, c in parts.items() if n in wanted])  # what rules share is made once
-    made = [F.when(reduce(lambda x, y: x & y, [F.col(p).isNotNull() for p in r]), F.shiftleft(F.xxhash64(*r), RULE_BITS).bitwiseOR(F.lit(first + n).cast("long"))) for n, r in enumerate(rules)]
+    made = [F.when(reduce(lambda x, y: x & y, [F.col(p).isNotNull() for p in r]), F.shiftleft(F.xxhash64(*r), RULE_BITS).bitwiseOR(F.lit(first + n).cast("long"))) for n, r in enumerate(rules) if only is None or first + n in only]
     return read.select(record, F.explode(F.array(*made)).alias("key")).where("key is not null")
 
 
@@ -256,10 +256,12 @@ def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None
         about = remaining.select("v", F.struct("born", "pos", "height", "initials").alias("s"), F.expr("try_element_at(filter(transform(names, x -> x.g), g -> g is not null), 1)").alias("g"))
         # keys of several holders on a side: only those who agree count
         open_keys = held.where("t < t2 or a < a2").select("key")
-        open_keys = F.broadcast(open_keys) if open_keys.count() <= FEW_KEYS else open_keys  # else the keys are shuffled again
-        several = made.join(open_keys, "key", "left_semi").distinct()
-        members = materialize(several.join(about.select("v", "s").distinct(), "v"), f"several{n + 1}")
-        single = single.unionByName(only_agreeing(members).select("t", "a", rule_of(F.col("key")).alias("rule")))
+        counts = {r["rule"]: r["count"] for r in open_keys.groupBy(rule_of(F.col("key")).alias("rule")).count().collect()}  # one row a rule
+        if counts:
+            open_keys = F.broadcast(open_keys) if sum(counts.values()) <= FEW_KEYS else open_keys  # else the keys are shuffled again
+            several = keys(remaining, rules, first, set(counts)).join(open_keys, "key", "left_semi").distinct()
+            members = materialize(several.join(about.select("v", "s").distinct(), "v"), f"several{n + 1}")
+            single = single.unionByName(only_agreeing(members).select("t", "a", rule_of(F.col("key")).alias("rule")))
         fit = single.groupBy("t", "a").agg(F.min("rule").alias("rule"), F.count("*").cast("int").alias("n"))
         if n:
             x, y = about.withColumnsRenamed({"v": "t", "s": "x", "g": "gx"}), about.withColumnsRenamed({"v": "a", "s": "y", "g": "gy"})
