@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -135,10 +135,11 @@ def club_words(c: Column) -> Column:
 
 def normal_club(c: Column, aliases: dict[str, str] = CLUB_ALIASES) -> Column:
     """Lower case without the usual endings, known short names replaced; null for nothing."""
-    t = F.trim(F.lower(c))
+    t = whole = F.trim(F.lower(c))
     for ending in CLUB_ENDINGS:
         t = F.regexp_replace(t, rf"\Q{ending}\E$", "")  # each step names its input once, so the expression grows by a step only
-    return F.nullif(recode(F.trim(t), aliases), F.lit(""))
+    ends = reduce(lambda x, y: x | y, [F.endswith(whole, F.lit(e)) for e in CLUB_ENDINGS])
+    return F.nullif(recode(F.when(ends, F.trim(t)).otherwise(whole), aliases), F.lit(""))
 
 
 def normal_position(c: Column) -> Column:
