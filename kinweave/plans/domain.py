@@ -336,8 +336,10 @@ def _lists(s, d) -> tuple[DataFrame, DataFrame]:
 
 @query()
 def token_candidates(s, d):
-    q, b = _lists(s, d)
-    return fuzzy.candidates(q, b)
+    # the name of each id's row in _lists, without its other fields
+    p = table(s, d, "pipeline_players").groupBy("id").agg(F.max(F.struct("updated_at", "name")).alias("m")).select("id", "m.name")
+    second = F.col("id").like("apif_%")
+    return fuzzy.candidates(p.where(second).withColumnRenamed("id", "q_id"), p.where(~second).withColumnRenamed("id", "b_id").withColumn("b_ord", F.col("b_id")))
 
 
 @query()

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +119,38 @@ def test_candidates_and_routes(spark):
     assert out.count() == 4
 
 
+def test_candidates_of_common_words_against_brute_force(spark):
+    r = random.Random(5)
+    name = lambda words, most: None if r.random() < 0.03 else " ".join(r.choice(words) for _ in range(r.randint(0, most)))
+    for keep, words, most in ((3, "aaa bbb ccc ddd xy", 5), (2, "aaa bbb ccc ddd eee fff", 7)):
+        q, b = [(f"q{i}", name(words.split(), most)) for i in range(60)], [(f"b{i}", i % 17 if i % 13 else None, name(words.split(), most)) for i in range(120)]
+        expected = []
+        for q_id, x in q:
+            scores = []
+            for b_id, b_ord, y in b:
+                xs, ys = ([w for w in (t or "").split() if len(w) >= 3] for t in (x, y))
+                if shared := [w for w in xs if w in ys]:
+                    scores.append((-sum(ys.count(w) for w in xs), xs.index(shared[0]), (b_ord is not None, b_ord or 0), b_id))
+            expected += [(q_id, s[3], -s[0], k + 1) for k, s in enumerate(sorted(scores)[:keep])]
+        assert rows(fuzzy.candidates(spark.createDataFrame(q, "q_id string, name string"), spark.createDataFrame(b, "b_id string, b_ord int, name string"), keep)) == sorted(expected, key=str)
+
+
+def test_candidates_of_a_word_of_all_rows_make_no_product(spark):
+    q = spark.range(3000).select(F.concat(F.lit("q"), "id").alias("q_id"), F.concat(F.lit("mateo "), F.when(F.col("id") % 2 == 0, F.concat(F.lit("silva only"), "id")).otherwise(F.concat(F.lit("own"), "id"))).alias("name"))
+    b = q.select(F.concat(F.lit("b"), F.substring("q_id", 2, 9)).alias("b_id"), F.substring("q_id", 2, 9).cast("int").alias("b_ord"), "name")
+    sc = spark.sparkContext
+
+    def moved() -> int:
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    before = moved()
+    got = fuzzy.candidates(q, b, 3).where("q_id in ('q0', 'q1', 'q2998')").collect()
+    assert sorted(map(tuple, got)) == [("q0", "b0", 3, 1), ("q0", "b2", 2, 2), ("q0", "b4", 2, 3), ("q1", "b0", 1, 2), ("q1", "b1", 2, 1), ("q1", "b2", 1, 3), ("q2998", "b0", 2, 2), ("q2998", "b2", 2, 3), ("q2998", "b2998", 3, 1)]
+    assert fuzzy.candidates(q, b, 3).count() == 9000
+    assert moved() - before < 300_000
+
+
 @pytest.mark.parametrize("sql", [
     "drop table t", "select 1; select 2", "select * from secret", "with x as (select * from secret) select * from x", "select * from t join secret on true", "insert into t select 1", "select * from t, secret",
     "select reflect('java.lang.System', 'exit') from t", "with secret as (select * from secret) select * from secret", "select k from t union all table secret", "select k from t where k in (select k from secret)", "select * from parquet.`/root`", "select k from nowhere",
