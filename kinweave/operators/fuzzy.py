@@ -14,7 +14,7 @@ from kinweave.storage import materialize
 
 AUTO, REVIEW = 85, 70
 #: Rows of open sets or of their first holders that are broadcast; more are joined by a shuffle.
-FEW_ROWS = 200_000
+FEW_ROWS = 500_000
 
 
 def _word_rows(rows: DataFrame, ids: list[str], min_length: int) -> DataFrame:
