@@ -60,10 +60,13 @@ def plain(c: Column) -> Column:
     return _short_umlauts(_unaccented(c))
 
 
+def _ordered(c: Column) -> Column:
+    """A name without accents, the given name first where a comma tells."""
+    return _unaccented(F.when(F.contains(c, F.lit(",")), F.concat_ws(" ", F.substring_index(c, ",", -1), F.substring_index(c, ",", 1))).otherwise(c))
+
+
 def _tokens(c: Column) -> Column:
-    """The words of a name, the given name first where a comma tells. A word of three letters keeps them: Noé is no initial."""
-    c = F.when(F.contains(c, F.lit(",")), F.concat_ws(" ", F.substring_index(c, ",", -1), F.substring_index(c, ",", 1))).otherwise(c)
-    c = _unaccented(c)
+    """The words of an ordered name. A word of three letters keeps them: Noé is no initial."""
     umlaut = reduce(lambda x, y: x | y, [F.contains(c, F.lit(pair)) for pair in _UMLAUTS])
     words = F.split(c, " ")
     folded = F.when(umlaut, F.transform(words, lambda t: F.when(F.length(t) > 3, _short_umlauts(t)).otherwise(t))).otherwise(words)
@@ -75,12 +78,12 @@ def _names(tokens: Column, fallback: Column | None = None) -> Column:
     longest = F.array_max(F.transform(tokens, lambda t: F.length(t)))
     families = F.filter(tokens, lambda t, i: ((F.length(t) >= LONG) & (i > 0)) | ((F.length(t) == longest) & (F.length(t) >= 3)))
 
-    def reading(s: Column) -> Column:
+    def parts(s: Column) -> Column:
         given = F.try_element_at(F.filter(tokens, lambda t: t != s), F.lit(1))
-        given = F.coalesce(given, fallback) if fallback is not None else given
-        return F.struct(s.alias("s"), F.substring(given, 1, 1).alias("i"), F.when(F.length(given) >= 3, given).alias("g"))
+        return F.struct(s.alias("s"), (F.coalesce(given, fallback) if fallback is not None else given).alias("given"))
 
-    return F.transform(families, reading)
+    # the given name is made once and read three times
+    return F.transform(F.transform(families, parts), lambda x: F.struct(x["s"].alias("s"), F.substring(x["given"], 1, 1).alias("i"), F.when(F.length(x["given"]) >= 3, x["given"]).alias("g")))
 
 
 _NO_NAMES = "array<struct<s:string,i:string,g:string>>"
@@ -94,12 +97,14 @@ def signatures(players: DataFrame) -> DataFrame:
     make no key.
     """
     number = F.expr(r"try_cast(regexp_extract(id, '^\\s*(?:apif_)?([1-9][0-9]{0,17})\\s*$', 1) as bigint)")
-    value = lambda c: F.nullif(F.replace(plain(F.col(c)), F.lit(" "), F.lit("")), F.lit(""))
+    value = lambda c: F.replace(plain(F.col(c)), F.lit(" "), F.lit(""))
+    # texts are folded in a projection of their own: each is read several times
     t = players.select(
-        F.when(F.contains(F.lower("id"), F.lit("apif")), -number).otherwise(number).alias("v"), _tokens(F.col("name")).alias("a"), _tokens(F.col("name_short")).alias("b"),
+        F.when(F.contains(F.lower("id"), F.lit("apif")), -number).otherwise(number).alias("v"), _ordered(F.col("name")).alias("a"), _ordered(F.col("name_short")).alias("b"),
         F.col("date_of_birth").alias("born"), F.lower(F.substring(F.trim("position"), 1, 1)).alias("pos"), F.col("height_cm").alias("height"),
-        *[F.when(value(c).isNotNull(), F.xxhash64(value(c))).alias(n) for c, n in (("city_of_birth", "city"), ("nationality", "nation"), ("current_club_name", "club"))],
+        *[value(c).alias(n) for c, n in (("city_of_birth", "city"), ("nationality", "nation"), ("current_club_name", "club"))],
     ).where("v is not null")
+    t = t.withColumns({"a": _tokens(F.col("a")), "b": _tokens(F.col("b"))} | {n: F.when(F.col(n) != "", F.xxhash64(n)) for n in ("city", "nation", "club")})
     given, second = F.try_element_at(F.col("a"), F.lit(1)), F.try_element_at(F.col("a"), F.lit(2))
     none = F.array().cast(_NO_NAMES)
     t = t.withColumn("n", F.array_distinct(F.concat(F.coalesce(_names(F.col("a")), none), F.coalesce(_names(F.col("b"), given), none))))

@@ -1,5 +1,6 @@
 import datetime as dt
 
+from kinweave.llm import linkage
 from kinweave.llm.linkage import PRIOR, found, rule_precision, with_confidence
 
 SCHEMA = "id string, name string, name_short string, date_of_birth date, nationality string, position string, height_cm int, current_club_name string, city_of_birth string, v int, key string, names string"
@@ -107,3 +108,8 @@ def test_holders_of_one_key_are_told_apart(spark):
     """Namesakes share every key that they make with their partners; only what agrees tells who is who."""
     rows = [row("1", "Hugo Gevotavín", None, height=170), row("2", "Hugo Gevotavín", None, height=190), row("apif_1", "Hugo Gevotavín", None, height=171), row("apif_2", "Hugo Gevotavín", None, height=191)]
     assert run(spark, *rows) == {("1", "apif_1"), ("2", "apif_2")}
+
+
+def test_signatures_fold_each_text_once(spark, data):
+    plan = linkage.signatures(spark.read.parquet(f"{data}/pipeline_players.parquet"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == 5  # two names, city, nationality, club
