@@ -70,7 +70,7 @@ def _tokens(c: Column) -> Column:
     umlaut = reduce(lambda x, y: x | y, [F.contains(c, F.lit(pair)) for pair in _UMLAUTS])
     words = F.split(c, " ")
     folded = F.when(umlaut, F.transform(words, lambda t: F.when(F.length(t) > 3, _short_umlauts(t)).otherwise(t))).otherwise(words)
-    return F.filter(folded, lambda t: t != "")
+    return F.array_remove(folded, "")
 
 
 def _names(tokens: Column, fallback: Column | None = None) -> Column:
@@ -86,6 +86,17 @@ def _names(tokens: Column, fallback: Column | None = None) -> Column:
     return F.transform(F.transform(families, parts), lambda x: F.struct(x["s"].alias("s"), F.substring(x["given"], 1, 1).alias("i"), F.when(F.length(x["given"]) >= 3, x["given"]).alias("g")))
 
 
+def _only_name(tokens: Column, fallback: Column | None = None) -> Column:
+    """(family name, given name) of one or two words of which one alone can be the family name, else null: most names, read
+    without going through their words one by one."""
+    one, two = F.try_element_at(tokens, F.lit(1)), F.try_element_at(tokens, F.lit(2))
+    first = (F.length(one) >= F.length(two)) & (F.length(one) >= 3)
+    last = (F.length(two) >= LONG) | ((F.length(two) >= F.length(one)) & (F.length(two) >= 3))
+    read = lambda s, given: F.struct(s.alias("s"), given.alias("given"))
+    alone = F.when((F.size(tokens) == 1) & (F.length(one) >= 3), read(one, F.lit(None).cast("string") if fallback is None else fallback))
+    return alone.when((F.size(tokens) == 2) & first & ~last, read(one, two)).when((F.size(tokens) == 2) & last & ~first, read(two, one))
+
+
 _NO_NAMES = "array<struct<s:string,i:string,g:string>>"
 
 
@@ -99,19 +110,35 @@ def signatures(players: DataFrame) -> DataFrame:
     number = F.expr(r"try_cast(regexp_extract(id, '^\\s*(?:apif_)?([1-9][0-9]{0,17})\\s*$', 1) as bigint)")
     value = lambda c: F.replace(plain(F.col(c)), F.lit(" "), F.lit(""))
     # texts are folded in a projection of their own: each is read several times
-    t = players.select(
-        F.when(F.contains(F.lower("id"), F.lit("apif")), -number).otherwise(number).alias("v"), _ordered(F.col("name")).alias("a"), _ordered(F.col("name_short")).alias("b"),
+    read = players.select("id", "name", "name_short", "date_of_birth", "position", "height_cm", "city_of_birth", "nationality", "current_club_name")
+    t = _once(read, v=F.when(F.contains(F.lower("id"), F.lit("apif")), -number).otherwise(number)).select(
+        "v", _ordered(F.col("name")).alias("a"), _ordered(F.col("name_short")).alias("b"),
         F.col("date_of_birth").alias("born"), F.lower(F.substring(F.trim("position"), 1, 1)).alias("pos"), F.col("height_cm").alias("height"),
         *[value(c).alias(n) for c, n in (("city_of_birth", "city"), ("nationality", "nation"), ("current_club_name", "club"))],
     ).where("v is not null")
     t = t.withColumns({"a": _tokens(F.col("a")), "b": _tokens(F.col("b"))} | {n: F.when(F.col(n) != "", F.xxhash64(n)) for n in ("city", "nation", "club")})
     given, second = F.try_element_at(F.col("a"), F.lit(1)), F.try_element_at(F.col("a"), F.lit(2))
     none = F.array().cast(_NO_NAMES)
-    t = t.withColumn("n", F.array_distinct(F.concat(F.coalesce(_names(F.col("a")), none), F.coalesce(_names(F.col("b"), given), none))))
-    names = F.expr("filter(n, x -> x.g is not null or not exists(n, y -> y.s = x.s and y.g is not null))")
+    # one reading of each name, x and y, says all of most rows; the rest goes through its words
+    t = t.withColumns({"x": _only_name(F.col("a")), "y": _only_name(F.col("b"), given)})
+    for c in ("x", "y"):
+        g = F.col(f"{c}.given")
+        t = t.withColumn(c, F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}.s").alias("s"), F.substring(g, 1, 1).alias("i"), F.when(F.length(g) >= 3, g).alias("g"))))
+    x, y = F.col("x"), F.col("y")
+    alone = x.isNotNull() & (F.col("b").isNull() | (F.size("b") == 0))
+    both, same_i = x.isNotNull() & y.isNotNull(), F.col("x.i").eqNullSafe(F.col("y.i"))
+    more = F.array_distinct(F.concat(F.coalesce(_names(F.col("a")), none), F.coalesce(_names(F.col("b"), given), none)))
+    t = t.withColumn("n", F.when(~(alone | both), more))
+    names = (
+        F.when(alone, F.array(x)).when(both & (F.col("x.s") != F.col("y.s")), F.array(x, y))
+        .when(both & F.col("x.g").isNotNull() & F.col("y.g").isNull(), F.array(x)).when(both & F.col("x.g").isNull() & F.col("y.g").isNotNull(), F.array(y))
+        .when(both & same_i & F.col("x.g").eqNullSafe(F.col("y.g")), F.array(x)).when(both, F.array(x, y))
+        .otherwise(F.expr("filter(n, x -> x.g is not null or not exists(n, y -> y.s = x.s and y.g is not null))"))
+    )
+    initials = F.when(alone | (both & same_i), F.array("x.i")).when(both, F.array("x.i", "y.i")).otherwise(F.expr("array_distinct(transform(n, x -> x.i))"))
     # "Given S. Second": a given name and the initial of the first family name
     short = F.when((F.length(given) >= 3) & second.isNotNull(), F.concat_ws(" ", given, F.substring(second, 1, 1)))
-    return t.select("v", names.alias("names"), short.alias("short"), F.expr("array_distinct(transform(n, x -> x.i))").alias("initials"), "born", "pos", "height", "city", "nation", "club")
+    return t.select("v", names.alias("names"), short.alias("short"), initials.alias("initials"), "born", "pos", "height", "city", "nation", "club")
 
 
 def _once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -151,24 +178,37 @@ PASSES: list[list[tuple[str, ...]]] = [
     ],
 ]
 
+#: Attributes made only to be looked up, with each pass: where one source alone holds a combination, the rules of later
+#: passes that ask for more than it need no keys of it.
+PROBES: list[list[tuple[str, ...]]] = [[], [("s", "i", "pos")], [], []]
+#: What agrees, and is known, wherever an attribute does.
+IMPLIED = {"g": ("i",), "born": ("loose", "year", "month", "day"), "loose": ("year",), "day": ("month",)}
+
 #: The rule whose matches may differ in the given name if one is a nickname of the other.
 NICKNAMED = ("s", "born", "pos")
 
 
-def keys(signed: DataFrame, rules: list[tuple[str, ...]], first: int, only: set[int] | None = None) -> DataFrame:
-    """(v, key): the keys that each record makes, by some of the rules' numbers if given."""
-    own = [c for c in ("pos", "height", "city", "nation", "club", "short") if any(c in r for r in rules)]
+def implies(rule: tuple[str, ...], base: tuple[str, ...]) -> bool:
+    """Whether records that agree by a rule also agree by a base, which has none but known values."""
+    return set(base) <= {*rule, *(i for p in rule for i in IMPLIED.get(p, ()))}
+
+
+def keys(signed: DataFrame, rules: dict[int, tuple[str, ...]], bases: dict[int, int] | None = None) -> DataFrame:
+    """(v, key): the keys that each record makes by rules of these numbers; where a rule has bases, the bits of its number,
+    only for records in whose column met they are all set."""
+    own = [c for c in ("pos", "height", "city", "nation", "club", "short") if any(c in r for r in rules.values())] + ["met"] * any((bases or {}).get(n) for n in rules)
     read = signed.select("v", "born", *own, F.explode_outer("names").alias("n")).select("v", "born", *own, "n.s", "n.i", "n.g")
-    return reading_keys(read, "v", rules, first, only)
+    return reading_keys(read, "v", rules, bases or {})
 
 
-def reading_keys(read: DataFrame, record: str, rules: list[tuple[str, ...]], first: int, only: set[int] | None = None) -> DataFrame:
+def reading_keys(read: DataFrame, record: str, rules: dict[int, tuple[str, ...]], bases: dict[int, int]) -> DataFrame:
     """(record, key) of readings (record, s, i, g, born, ...): one key for each rule all of whose parts are known. The low bits of
-    a key are the rule's number, first and on; the rest is a hash, which the rows of one rule share by what they agree in."""
-    born, wanted = F.col("born"), {p for r in rules for p in r}
+    a key are the rule's number; the rest is a hash, which the rows of one rule share by what they agree in."""
+    born, wanted = F.col("born"), {p for r in rules.values() for p in r}
     parts = {"head": _head(F.col("s")), "tail": _tail(F.col("s")), "loose": _loose(born), "year": F.year(born), "month": F.month(born), "day": F.month(born) * 100 + F.dayofmonth(born)}
     read = read.select("*", *[c.alias(n) for n, c in parts.items() if n in wanted])  # what rules share is made once
-    made = [F.when(reduce(lambda x, y: x & y, [F.col(p).isNotNull() for p in r]), F.shiftleft(F.xxhash64(*r), RULE_BITS).bitwiseOR(F.lit(first + n).cast("long"))) for n, r in enumerate(rules) if only is None or first + n in only]
+    may = lambda n: [F.col("met").bitwiseAND(F.lit(bases[n]).cast("long")) == F.lit(bases[n]).cast("long")] if bases.get(n) else []
+    made = [F.when(reduce(lambda x, y: x & y, [*may(n), *[F.col(p).isNotNull() for p in r]]), F.shiftleft(F.xxhash64(*r), RULE_BITS).bitwiseOR(F.lit(n).cast("long"))) for n, r in rules.items()]
     return read.select(record, F.explode(F.array(*made)).alias("key")).where("key is not null")
 
 
@@ -235,51 +275,72 @@ def only_agreeing(members: DataFrame) -> DataFrame:
     x = kinds.where("hi > 0").select("key", F.col("p").alias("px"), F.col("s").alias("x"), F.col("lo").alias("xlo"), F.col("hi").alias("xhi"), F.explode(slip_codes(F.col("s.born"), True)).alias("code"))
     y = kinds.where("hi < 0").select("key", F.col("p").alias("py"), F.col("s").alias("y"), F.col("lo").alias("ylo"), F.col("hi").alias("yhi"), F.explode(slip_codes(F.col("s.born"), False)).alias("code"))
     met = x.join(y, ["key", "code"]).where(agreeing("x", "y"))
-    of_x = met.groupBy("key", F.col("px").alias("p")).agg(F.min("ylo").alias("lo"), F.max("yhi").alias("hi"))
-    of_y = met.groupBy("key", F.col("py").alias("p")).agg(F.min("xlo").alias("lo"), F.max("xhi").alias("hi"))
+    # both sides' partners from one join: the pairs of kinds are made once and never written
+    side = lambda left, *c: F.struct(F.lit(left).alias("left"), *[F.col(x).alias(y) for x, y in zip(c, ("p", "lo", "hi"))])
+    sides = F.explode(F.array(side(True, "px", "ylo", "yhi"), side(False, "py", "xlo", "xhi"))).alias("of")
+    of = materialize(met.select("key", sides).select("key", "of.*").groupBy("key", "left", "p").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "partners")
+    of_x, of_y = of.where("left").drop("left"), of.where("not left").drop("left")
     one = lambda side, of: side.join(of, ["key", "p"]).groupBy("key", "v").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo = hi")
     of_t = one(t_side, of_x).select("key", F.col("v").alias("t"), F.col("lo").alias("a"))
     of_a = one(a_side, of_y).select("key", F.col("lo").alias("t"), F.col("v").alias("a"))
     return of_t.join(of_a, ["key", "t", "a"])
 
 
-def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None) -> DataFrame:
+def holders(held: DataFrame, remaining: DataFrame, rules: dict[int, tuple[str, ...]], bases: dict[int, int], name: str) -> DataFrame | None:
+    """(v, key): the holders of the rules' keys in held that have several on a side; none for no such key."""
+    open_keys = held.where("t < t2 or a < a2").select("key", rule_of(F.col("key")).alias("rule")).where(F.col("rule").isin(list(rules)))
+    counts = {r["rule"]: r["count"] for r in open_keys.groupBy("rule").count().collect()}  # one row a rule
+    if not counts:
+        return None
+    open_keys = F.broadcast(open_keys.select("key")) if sum(counts.values()) <= FEW_KEYS else open_keys.select("key")  # else the keys are shuffled again
+    return materialize(keys(remaining, {n: rules[n] for n in counts}, bases).join(open_keys, "key", "left_semi").distinct(), name)
+
+
+def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None, probes: list[list[tuple[str, ...]]] | None = None) -> DataFrame:
     """(t, a, rule): matched records of the first and the second source, at most one partner each, and the strongest rule
     that matched them.
 
     A record that several keys of one pass lead to different partners goes to the partner of the strongest rule, as if each rule
     were a pass of its own; of partners by the same rule to the one that more rules lead to, and to none if that is not mutual. The first pass needs no further agreement where one record of each source holds a key; of
     several holders those match who are each other's only agreeing one.
+
+    The records left for a pass are some of those of the pass before. So a rule can match none of those whose keys by a weaker
+    combination, a rule or probe of an earlier pass, only one source held, and these make no key by it.
     """
+    probes = (PROBES if passes is None else []) if probes is None else probes
     passes = PASSES if passes is None else passes
-    matched, first, remaining = [], 1, signed
-    for n, rules in enumerate(passes):
+    numbers = iter(range(1, 1 << RULE_BITS))
+    ruled = [{next(numbers): r for r in rules} for rules in passes]
+    probed = [{next(numbers): r for r in rules} for rules in [*probes, *[[]] * len(passes)][: len(passes)]]
+    looked = [r | p for r, p in zip(ruled, probed)]
+    bases = {m: sum(1 << b for early in looked[:n] for b, base in early.items() if implies(r, base)) for n, own in enumerate(looked) for m, r in own.items()}
+    matched, remaining = [], signed
+    for n, rules in enumerate(ruled):
         t, a = F.when(F.col("v") > 0, F.col("v")), F.when(F.col("v") < 0, F.col("v"))
-        made = keys(remaining, rules, first)
+        made = keys(remaining, looked[n], bases)
         held = materialize(made.groupBy("key").agg(F.min(t).alias("t"), F.max(t).alias("t2"), F.min(a).alias("a"), F.max(a).alias("a2")).where("t is not null and a is not null"), f"held{n + 1}")
-        single = held.where("t = t2 and a = a2").select("t", "a", rule_of(F.col("key")).alias("rule"))
+        rule = rule_of(F.col("key"))
+        single = held.where("t = t2 and a = a2").where(rule <= max(rules, default=0)).select("t", "a", rule.alias("rule"))
         about = remaining.select("v", F.struct("born", "pos", "height", "initials").alias("s"), F.expr("try_element_at(filter(transform(names, x -> x.g), g -> g is not null), 1)").alias("g"))
         # keys of several holders on a side: only those who agree count
-        open_keys = held.where("t < t2 or a < a2").select("key")
-        counts = {r["rule"]: r["count"] for r in open_keys.groupBy(rule_of(F.col("key")).alias("rule")).count().collect()}  # one row a rule
-        if counts:
-            open_keys = F.broadcast(open_keys) if sum(counts.values()) <= FEW_KEYS else open_keys  # else the keys are shuffled again
-            several = keys(remaining, rules, first, set(counts)).join(open_keys, "key", "left_semi").distinct()
-            members = materialize(several.join(about.select("v", "s").distinct(), "v"), f"several{n + 1}")
-            single = single.unionByName(only_agreeing(members).select("t", "a", rule_of(F.col("key")).alias("rule")))
-        fit = single.groupBy("t", "a").agg(F.min("rule").alias("rule"), F.count("*").cast("int").alias("n"))
+        several = holders(held, remaining, rules, bases, f"several{n + 1}")
+        if several is not None:
+            few = F.broadcast(several) if several.count() <= FEW_KEYS else several
+            members = materialize(about.select("v", "s").join(few, "v").distinct(), f"members{n + 1}")
+            single = single.unionByName(only_agreeing(members).select("t", "a", rule.alias("rule")))
+        fit = single.repartition("t").groupBy("t", "a").agg(F.min("rule").alias("rule"), F.count("*").cast("int").alias("n"))
         if n:
             x, y = about.withColumnsRenamed({"v": "t", "s": "x", "g": "gx"}), about.withColumnsRenamed({"v": "a", "s": "y", "g": "gy"})
             met = fit.join(x, "t").join(y, "a").where(agreeing("x", "y", initials=False)).select("t", "a", "rule", "n", "gx", "gy", same_initials("x", "y").alias("same"))
-            exact = first + rules.index(NICKNAMED) if NICKNAMED in rules else None
+            met = materialize(met, "met")
+            exact = next((m for m, r in rules.items() if r == NICKNAMED), None)
             if exact is not None:  # the same family name, birth date and position under another given name
-                met = materialize(met, "met")
                 other = met.where(~F.col("same") & (F.col("rule") == exact)).select("t", "a", "rule", "n", "gx", "gy")
                 known = other.join(nicknames(other), ["gx", "gy"]).select("t", "a", "rule", "n")
                 met = met.where("same").select("t", "a", "rule", "n").unionByName(known)
             else:
                 met = met.where("same")
-            fit = met.groupBy("t", "a").agg(F.min("rule").alias("rule"), F.max("n").alias("n"))
+            fit = met.repartition("t").groupBy("t", "a").agg(F.min("rule").alias("rule"), F.max("n").alias("n"))
         # the strongest rule first, then how many rules agree, as one number: aggregated by hash, without sorting
         rank = F.col("n") - F.col("rule") * 128
         of_t = fit.groupBy("t").agg(F.max(rank).alias("best"))
@@ -289,10 +350,20 @@ def cascade(signed: DataFrame, passes: list[list[tuple[str, ...]]] | None = None
         one = one_t.groupBy("a").agg(F.min("t").alias("t"), F.max("t").alias("t2"), F.min("rule").alias("rule")).where("t = t2").select("t", "a", "rule")
         found = materialize(one, f"pass{n + 1}")
         matched.append(found)
-        first += len(rules)
         if n + 1 < len(passes):
-            done = found.select(F.explode(F.array("t", "a")).alias("v"))
-            rest = Written(remaining.join(done, "v", "left_anti"), f"rest{n + 1}")
+            # bit 0: resolved; the bits of the combinations that both sources held, as far as later rules ask for them
+            asked = {m: looked[n][m] for m in looked[n] if any(bases[later] >> m & 1 for own in looked[n + 1 :] for later in own)}
+            marks = [found.select(F.explode(F.array("t", "a")).alias("v"), F.lit(1).cast("long").alias("bits"))]
+            if asked:
+                bit = F.expr("shiftleft(1L, rule)")
+                marks.append(held.where("t = t2 and a = a2").select(F.explode(F.array("t", "a")).alias("v"), rule.alias("rule")).where(F.col("rule").isin(list(asked))).select("v", bit.alias("bits")))
+                probe = holders(held, remaining, {m: r for m, r in asked.items() if m in probed[n]}, bases, f"probe{n + 1}") if set(asked) & set(probed[n]) else None
+                marks += [h.select("v", rule.alias("rule")).where(F.col("rule").isin(list(asked))).select("v", bit.alias("bits")) for h in (several, probe) if h is not None]
+            marked = reduce(DataFrame.unionByName, marks).groupBy("v").agg(F.bit_or("bits").alias("bits")).hint("shuffle_hash")  # never more rows than records
+            left = remaining.join(marked, "v", "left").where("bits is null or bits & 1 = 0")
+            seen = F.coalesce("bits", F.lit(0).cast("long"))
+            met_by = F.col("met").bitwiseOR(seen) if "met" in remaining.columns else seen
+            rest = Written(left.select(*signed.columns, met_by.alias("met")), f"rest{n + 1}")
             if n:
                 previous.drop()
             previous, remaining = rest, rest.df

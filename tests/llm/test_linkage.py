@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from kinweave.llm import linkage
 from kinweave.llm.linkage import PRIOR, found, rule_precision, with_confidence
 
@@ -113,3 +115,43 @@ def test_holders_of_one_key_are_told_apart(spark):
 def test_signatures_fold_each_text_once(spark, data):
     plan = linkage.signatures(spark.read.parquet(f"{data}/pipeline_players.parquet"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("translate(") == 5  # two names, city, nationality, club
+
+
+def test_signatures_of_all_forms_of_names(spark):
+    """Names of one and two words are read without a way through their words; that way would say the same."""
+    names = [None, "", " ", "Al", "Hugo", "Hugo Hugo", "Al Bo", "Ole Bri", "Hugo Gevotavín", "Gevotavín, Hugo", "H. Gevotavín", "Gevotavín H", "J Gevotavín", "Bakary Ndudiwedjou", "Binaduélar Gevotavínez", "Hugo Lukas Gevotavín", "Torbjoern Dindamundsen", "Ho Gevotavín", "Hu Gevotavín"]
+    ps = players(spark, [row(str(1 + i), a, None, short=b) for i, (a, b) in enumerate((a, b) for a in names for b in names)])
+
+    def slowly(columns):
+        mend, linkage._only_name = linkage._only_name, lambda tokens, fallback=None: F.lit(None).cast("struct<s:string,given:string>")
+        try:
+            return linkage.signatures(ps).select(*columns).collect()
+        finally:
+            linkage._only_name = mend
+
+    columns = ("v", "names", "short", "initials")
+    assert sorted(linkage.signatures(ps).select(*columns).collect(), key=str) == sorted(slowly(columns), key=str)
+
+
+def test_combinations_of_one_source_make_no_further_keys(spark, data):
+    """A rule asks for more than a combination that an earlier pass found in one source only: no keys are made by it, and the
+    matches are those of the cascade that makes them all."""
+    signed = linkage.signatures(spark.read.parquet(f"{data}/pipeline_players.parquet"))
+    made, keys = [], linkage.keys
+
+    def counted(*args):
+        df = keys(*args)
+        made.append(df.count())
+        return df
+
+    def run_all(probes, implied):
+        made.clear()
+        before, linkage.implies, linkage.keys = linkage.implies, implied, counted
+        try:
+            return {tuple(r) for r in linkage.cascade(signed, linkage.PASSES, probes).collect()}, sum(made)
+        finally:
+            linkage.implies, linkage.keys = before, keys
+
+    fewer, n = run_all(linkage.PROBES, linkage.implies)
+    every, m = run_all([], lambda rule, base: False)
+    assert fewer == every and len(fewer) > 100 and n < 0.85 * m
